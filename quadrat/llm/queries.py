@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quadrat.llm import packing, quality_rules, url_filter
+from quadrat.llm import packing, quality_rules, secrets, url_filter
 
-_MODULES = (url_filter, quality_rules, packing)
+_MODULES = (url_filter, quality_rules, secrets, packing)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in _MODULES for k, v in m.SQL.items()}
