@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadrat.scratch import drop_scratch, materialize, scratch_path, shared_dir  # noqa: F401
+
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -17,41 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    It is what spark.checkpoint.dir names.  Only where that is unset, as in local tests, a temporary
-    folder is taken, and remembered in the session so that later calls find the same one.
-    """
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("quadrat.scratch.dir", None)
-    if not at:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or "cluster" in spark.sparkContext.master:
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        at = tempfile.mkdtemp(prefix="quadrat-")
-        spark.conf.set("quadrat.scratch.dir", at)
-    return at.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/quadrat/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: this cuts the lineage, and a lost executor costs nothing of it."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop_scratch(df: DataFrame) -> None:
-    """Delete what materialize() wrote for df; df must not be read again."""
-    spark = df.sparkSession
-    for path in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
-        if "/quadrat/" in path:
-            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
 def words(text: Column) -> Column:
     """The words of a text, in order; none for a null text."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+"), lambda w: w != "")
