@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quadrat.llm import embedding_dedup, near_dedup, packing, quality_rules, secrets, url_filter
+from quadrat.llm import byte_bpe, embedding_dedup, near_dedup, packing, quality_rules, secrets, url_filter
 
-_MODULES = (embedding_dedup, near_dedup, url_filter, quality_rules, secrets, packing)
+_MODULES = (byte_bpe, embedding_dedup, near_dedup, url_filter, quality_rules, secrets, packing)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in _MODULES for k, v in m.SQL.items()}
