@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import bisect
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -31,8 +32,8 @@ from quadrat.llm.common import materialize, table
 
 CAPACITY = 4096
 END_ID = 1
-#: Entries that a Python worker keeps of tokenized chunks and pieces; it starts anew when they are full.
-MAX_CHUNKS, MAX_PIECES = 300_000, 1_500_000
+#: Entries of tokenized chunks and pieces in each of the two generations that a Python worker keeps.
+MAX_CHUNKS, MAX_PIECES = 400_000, 600_000
 RANK_BLOCK = 256
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -41,6 +42,36 @@ _SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿªµº]+|[0-9²³¹¼
 _PLAIN = re.compile("[\x21-\x7e\xa1-\xac\xae-\xff]*")
 
 
+def _byte_letters() -> dict[int, str]:
+    """Code points up to U+00FF to the letters that stand for their UTF-8 bytes in a byte-level vocabulary."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in shown)}
+    return {c: "".join(letters[b] for b in chr(c).encode()) for c in range(256)}
+
+
+_LETTERS = _byte_letters()
+
+
+class Generations:
+    """A dictionary, ``now``, that keeps what was used lately: when full it becomes the old one, from which what is asked for comes back."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.now, self.old = most, {}, {}
+
+    def absent(self, keys: set) -> list:
+        """Those of keys that neither generation has; all others are in ``now`` then."""
+        if len(self.now) > self.most:
+            self.now, self.old = {}, self.now
+        now, old = self.now, self.old
+        out = []
+        for k in keys.difference(now):
+            if k in old:
+                now[k] = old[k]
+            else:
+                out.append(k)
+        return out
+
+
 class ChunkTokenizer:
     """ids of texts, as 4-byte little-endian strings.
 
@@ -54,26 +85,27 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.chunks: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.chunks, self.pieces = Generations(MAX_CHUNKS), Generations(MAX_PIECES)
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _encode(self, piece: str) -> bytes:
+        """One piece: as its normal form is known up to U+00FF, the library's model takes it at once."""
+        if _PLAIN.fullmatch(piece):
+            ids = [t.id for t in self.model.tokenize(piece.translate(_LETTERS))]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        if len(self.chunks) > MAX_CHUNKS:
-            self.chunks.clear()
-        if len(self.pieces) > MAX_PIECES:
-            self.pieces.clear()
         split = [(t or "").encode().split() for t in texts]
-        chunks, pieces = self.chunks, self.pieces
-        missing = {c for s in split for c in s if c not in chunks}
         parts = {}
-        for c in missing:
+        for c in self.chunks.absent(set().union(*split)):
             s = c.decode()
             parts[c] = _SPLIT.findall(s.lower()) if _PLAIN.fullmatch(s) else [s]
-        new = list({p for ps in parts.values() for p in ps if p not in pieces})
-        pieces.update(zip(new, self._encode(new), strict=True))
+        new = self.pieces.absent({p for ps in parts.values() for p in ps})
+        chunks, pieces = self.chunks.now, self.pieces.now
+        for p in new:
+            pieces[p] = self._encode(p)
         for c, ps in parts.items():
             chunks[c] = b"".join([pieces[p] for p in ps])
         for s in split:
@@ -98,7 +130,7 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
             _TOKENIZERS[own] = ChunkTokenizer(own)
         tok, end, step = _TOKENIZERS[own], np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
         for big in batches:
-            for batch in (big.slice(i, 256) for i in range(0, big.num_rows, 256)):
+            for batch in (big.slice(i, 1000) for i in range(0, big.num_rows, 1000)):
                 rows = []
                 for doc, ids in zip(batch.column(0).to_pylist(), tok(batch.column(1).to_pylist()), strict=True):
                     ids += end
