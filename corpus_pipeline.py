@@ -4,17 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quadrat.llm import quality_rules
-from quadrat.llm.common import materialize, table
+from quadrat.llm import near_dedup, packing, quality_classifier, quality_rules, secrets
+from quadrat.llm.common import drop_scratch, materialize, scratch_path, table
 
 
-def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no learned rule rejects."""
     return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject; it learns from the labelled documents of the whole table.
+
+    The stage before has taken most documents of low quality away, so what is left of them would teach
+    it little.
+    """
+    labels = quality_classifier.train_rows(table(spark, sf_dir, "labels"))
+    model = quality_classifier.fit(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+    return quality_classifier.keep_above(docs, model)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, a similarity of 0.8 or more."""
+    return near_dedup.keep_one(docs)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced by a mark."""
+    return secrets.redact(docs, secrets.Ledger(spark, scratch_path(spark, "ledger")))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences of 4096 tokens."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
-    ("quality rules", quality_rules_stage),
+    ("quality rules", rules_stage),
+    ("quality classifier", classifier_stage),
+    ("near dedup", near_dedup_stage),
+    ("secret scan", secrets_stage),
+    ("packing", packing_stage),
 ]
 
 #: No SQL: the learned stages can't be expressed in it.
@@ -22,7 +52,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if last is not None:
+            drop_scratch(last)
+        last = docs
     return docs
