@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrat.scratch import drop_scratch, materialize, scratch_path, shared_dir  # noqa: F401
+from quadrat.scratch import drop_scratch, materialize, release, scratch_path, shared_dir  # noqa: F401
 
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE_CLASS = r"[\x20\x09-\x0D]"

@@ -4,16 +4,19 @@
     class goes on with one representative, so copies never meet each other.
 2.  The sketch keeps the ``sketch`` least hashes.  The ``indexed`` least of them go to inverted lists.
     Two sets of Jaccard similarity t miss each other in all lists with a chance of about
-    (1 - t) ** indexed: 1e-10 for 0.85 and 12 values.
+    (1 - t) ** indexed: 1e-13 for 0.85 and 16 values.
 3.  A short list gives its pairs.  A long one gives only the pairs with its least member, which is
     enough for groups of near copies: they become one component.
 4.  The bottom-k of the union of two sketches estimates the similarity; pairs that are clearly below
     the threshold (by six standard deviations) go.  The rest is confirmed on the full sets.
-5.  Long lists that still hold several components (passages that many documents share) are searched
-    by an exact way: two sets that similar differ in at most d elements, so of d + 1 parts of the
+5.  A document most of whose indexed values are in long lists may have partners that it met in long
+    lists only (a passage that many documents share is most of it).  Where such lists still hold
+    several components, these documents are searched by an exact way: two sets that similar differ in at most d elements, so of d + 1 parts of the
     universe at least one holds the same elements in both.  Sets meet on such parts, across components
     only, and are confirmed on the full sets.  A part holds five or more elements, so that a shared
-    passage alone does not bring documents together.  Nothing is capped or dropped.
+    passage alone does not bring documents together.  Any other document has so many values in short
+    lists that the chance to share none of them with a partner is 1e-6 at most, or none where the index
+    holds the whole set.  Nothing is capped or dropped.
 
 The links give connected components.  Sets of documents whose sketches met anything are computed from
 whole texts; no other text is moved.
@@ -29,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrat.llm.common import drop_scratch, materialize, table
+from quadrat.llm.common import drop_scratch, materialize, release, table
 from quadrat.operators.graph import connected_components
 
-SKETCH, INDEXED, SHORT_LIST = 32, 12, 16
+SKETCH, INDEXED, SHORT_LIST, MISS = 32, 16, 16, 1e-6
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD)
 
@@ -201,20 +204,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     pairs = materialize(likely.select("a", "b"), "pairs")
 
     # full sets of whatever may have to be confirmed
-    needed = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).union(tagged.where(F.col("size") > short_list).select("v")).distinct()
+    enough = math.ceil(math.log(MISS) / math.log(1 - t))
+    in_long = tagged.where(F.col("size") > short_list).groupBy("v").agg(F.count("*").alias("long"))
+    unsure = F.when(F.col("n") <= indexed, den * F.col("long") >= num * F.col("n")).otherwise(indexed - F.col("long") < enough)
+    doubtful = materialize(in_long.join(reps.select("v", "n"), "v").where(unsure).select("v"), "doubtful")
+    needed = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).union(doubtful).distinct()
     wanted = needed.join(reps.select("v", "doc_id", "text_key"), "v").select("v", F.coalesce("doc_id", F.lit(-1)).alias("_d"), F.col("doc_id").isNull().alias("_null"), "text_key")
     keyed = own.select(F.coalesce("doc_id", F.lit(-1)).alias("_d"), F.col("doc_id").isNull().alias("_null"), "text_key", "text")
     texts = keyed.join(wanted, ["_d", "_null", "text_key"]).select("v", "text")
     sets = materialize(_full_sets(texts, width), "sets")
+    release(docs.sparkSession)
 
     links = materialize(_confirm(pairs, sets, num, den), "links")
     comps = connected_components(links)
 
     # long lists with several components: an exact search across components
+    release(docs.sparkSession)
     own_comp = tagged.where(F.col("size") > short_list).select("value", "v").join(comps, F.col("v") == F.col("vertex"), "left").select("value", "v", F.coalesce("component", "v").alias("component"))
     own_comp = materialize(own_comp, "long-lists")
     mixed = own_comp.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("value")
-    search = own_comp.join(mixed, "value", "left_semi").select("v", "component").distinct()
+    search = own_comp.join(mixed, "value", "left_semi").select("v", "component").distinct().join(doubtful, "v", "left_semi")
     keys = materialize(_by_parts(search.join(sets, "v"), t), "part-keys")
     several = keys.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
     keys = materialize(keys.join(several, "key", "left_semi"), "part-keys")
@@ -222,6 +231,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     across = x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (den * F.least("na", "nb") >= num * F.greatest("na", "nb"))).select("a", "b").distinct()
     more = _confirm(materialize(across, "across"), sets, num, den)
     comps = materialize(connected_components(links.union(more)), "components")
+    release(docs.sparkSession)
     for done in (lists, tagged, sets, pairs):
         drop_scratch(done)
 
