@@ -28,21 +28,28 @@ class Rule:
     pattern: str  # without capturing groups other than `group`
     group: int = 0  # the group whose length counts
     at_least: int = 1
+    one_of: tuple[str, ...] = ()  # strings of which every match holds one: a cheap test before the pattern
+
+    def occurs(self, text: Column) -> Column:
+        test = None
+        for s in self.one_of:
+            test = text.contains(s) if test is None else test | text.contains(s)
+        return text.rlike(self.pattern) if test is None else test & text.rlike(self.pattern)
 
 
 #: Fixed values of the query's contract: the three base kinds.  Quantifiers of access and hex carry the
 #: least length: a run that is long enough is found from its start, and a shorter one holds no longer one.
 BASE = (
-    Rule("assign", r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 8),
-    Rule("access", r"AKIA[A-Z0-9]{12,}"),
+    Rule("assign", r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 8, ("=", ":")),
+    Rule("access", r"AKIA[A-Z0-9]{12,}", one_of=("AKIA",)),
     Rule("hex", r"[0-9a-f]{32,}"),
 )
 #: What the method adds.
 MORE = (
-    Rule("pem", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("prefixed", r"(?:ghp|gho|ghs|sk_live|sk_test|xoxb|xoxp)_[A-Za-z0-9]{16,}"),
-    Rule("login", r"[a-z][a-z0-9+]{1,15}://[A-Za-z0-9_.-]{1,64}:[^\x20\x09-\x0D/@:]{4,64}@"),
+    Rule("pem", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----", one_of=("-----BEGIN ",)),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", one_of=("eyJ",)),
+    Rule("prefixed", r"(?:ghp|gho|ghs|sk_live|sk_test|xoxb|xoxp)_[A-Za-z0-9]{16,}", one_of=("_",)),
+    Rule("login", r"[a-z][a-z0-9+]{1,15}://[A-Za-z0-9_.-]{1,64}:[^\x20\x09-\x0D/@:]{4,64}@", one_of=("://",)),
 )
 RULES = BASE + MORE
 #: Goes up with every change of RULES; blobs are then scanned anew.
@@ -67,7 +74,7 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
         ),
         lambda acc: F.coalesce(acc["found"], F.array()),
     )
-    return F.when(text.rlike(rule.pattern), out).otherwise(F.array().cast(f"array<struct<{SPAN.replace(' ', ':').replace(',:', ',')}>>"))
+    return F.when(rule.occurs(text), out).otherwise(F.array().cast(f"array<struct<{SPAN.replace(' ', ':').replace(',:', ',')}>>"))
 
 
 def find_spans(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -77,6 +84,14 @@ def find_spans(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return F.transform(keyed, lambda s: F.struct(s["kind"].alias("kind"), s["rank"].alias("rank"), s["start"].alias("start"), s["end"].alias("end")))
 
 
+def suspect(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Whether any rule matches at all."""
+    out = rules[0].occurs(text)
+    for r in rules[1:]:
+        out = out | r.occurs(text)
+    return out
+
+
 class Ledger:
     """What was scanned and found, in a folder that all executors share."""
 
@@ -109,32 +124,40 @@ class Ledger:
         blobs = docs.select(text.alias("text")).select(F.sha2(F.col("text"), 256).alias("blob"), "text")
         known = self.scanned().where(F.col("rules") == version).select("blob").distinct()
         # only texts in which a rule matches at all are moved: the others need no more than their address
-        suspect = blobs.where(F.col("text").rlike("|".join(f"(?:{r.pattern})" for r in rules))).groupBy("blob").agg(F.first("text").alias("text"))
-        fresh = suspect.join(known, "blob", "left_anti").select("blob", F.lit(version).alias("rules"), find_spans(F.col("text"), rules).alias("spans"))
+        some = blobs.where(suspect(F.col("text"), rules)).groupBy("blob").agg(F.first("text").alias("text"))
+        fresh = some.join(known, "blob", "left_anti").select("blob", F.lit(version).alias("rules"), find_spans(F.col("text"), rules).alias("spans"))
         fresh.where(F.size("spans") > 0).write.mode("append").parquet(f"{self.path}/findings")
         blobs.select("blob").distinct().join(known, "blob", "left_anti").withColumn("rules", F.lit(version)).write.mode("append").parquet(f"{self.path}/scanned")
 
 
-def scan(docs: DataFrame, ledger: Ledger, text_col: str = "text", rules: tuple[Rule, ...] = RULES, version: int = RULES_VERSION) -> DataFrame:
-    """The rows of docs, each with all its columns, and ``spans``: what the ledger knows of its content after an update.
+def _with_spans(docs: DataFrame, ledger: Ledger, text_col: str, version: int, keep: list[str]) -> DataFrame:
+    """(_row, _spans): of each row of docs the columns keep, and what the ledger knows of its content."""
+    blob = F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256)
+    keyed = docs.select(blob.alias("_blob"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"))
+    found = ledger.findings(version).withColumnRenamed("blob", "_blob").withColumnRenamed("spans", "_spans")
+    none = F.array().cast(found.schema["_spans"].dataType)
+    return keyed.join(found, "_blob", "left").select("_row", F.coalesce("_spans", none).alias("_spans"))
+
+
+def scan(docs: DataFrame, ledger: Ledger, text_col: str = "text", rules: tuple[Rule, ...] = RULES, version: int = RULES_VERSION, keep: list[str] | None = None) -> DataFrame:
+    """(_row, _spans) of every row of docs: its columns (those in keep, or all), and what the ledger knows of its content after an update.
 
     Spans are structs (kind, rank, start, end), by start and then in the order of the rules; empty where
     nothing was found, for an empty text and for a null one.  Repeated rows stay, each with its spans.
+    The columns kept are what is shuffled, so name only those that are needed.
     """
     ledger.update(docs, text_col, rules, version)
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    keyed = row.withColumn("_blob", F.sha2(F.coalesce(F.col(f"_row.`{text_col}`"), F.lit("")), 256))
-    found = ledger.findings(version).withColumnRenamed("blob", "_blob").withColumnRenamed("spans", "_spans")
-    none = F.array().cast(found.schema["_spans"].dataType)
-    return keyed.join(found, "_blob", "left").select("_row", F.coalesce("_spans", none).alias("_spans"))
+    return _with_spans(docs, ledger, text_col, version, keep or docs.columns)
 
 
 def redact(docs: DataFrame, ledger: Ledger, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """docs with every span (overlapping ones as one) replaced by a mark; n_chars follows where docs has it.
 
-    Texts without findings are left as they are.
+    Texts without findings are left as they are; those in which no rule matches are not moved.
     """
-    s = scan(docs, ledger, text_col)
+    ledger.update(docs, text_col)
+    found = F.coalesce(suspect(F.col(f"`{text_col}`")), F.lit(False))
+    s = _with_spans(docs.where(found), ledger, text_col, RULES_VERSION, docs.columns)
     text = F.col(f"_row.`{text_col}`")
     merged = F.aggregate(
         "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
@@ -144,8 +167,7 @@ def redact(docs: DataFrame, ledger: Ledger, text_col: str = "text", mark: str =
         )),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
     )
-    new = F.when(F.size("_spans") > 0, merged).otherwise(text)
-    s = s.withColumn("_new", new)
+    s = s.withColumn("_new", F.when(F.size("_spans") > 0, merged).otherwise(text))
     out = []
     for f in docs.schema:
         c = F.col(f"_row.`{f.name}`")
@@ -154,7 +176,7 @@ def redact(docs: DataFrame, ledger: Ledger, text_col: str = "text", mark: str =
         elif f.name == "n_chars":
             c = F.when(F.size("_spans") > 0, F.length("_new")).otherwise(c).cast(f.dataType)
         out.append(c.alias(f.name))
-    return s.select(*out)
+    return docs.where(~found).unionByName(s.select(*out))
 
 
 def digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -165,7 +187,7 @@ def digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(scan(table(spark, sf_dir, "documents"), Ledger(spark, scratch_path(spark, "ledger"))))
+    return digest(scan(table(spark, sf_dir, "documents"), Ledger(spark, scratch_path(spark, "ledger")), keep=["doc_id"]))
 
 
 def _sql() -> str:
