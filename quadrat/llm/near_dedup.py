@@ -5,18 +5,17 @@
 2.  The sketch keeps the ``sketch`` least hashes.  The ``indexed`` least of them go to inverted lists.
     Two sets of Jaccard similarity t miss each other in all lists with a chance of about
     (1 - t) ** indexed: 1e-13 for 0.85 and 16 values.
-3.  A short list gives its pairs.  A long one gives only the pairs with its least member, which is
-    enough for groups of near copies: they become one component.
+3.  A short list gives its pairs.  A long one gives only the pairs with its hub, the member with most
+    company in its lists, which makes most of a group of near copies one component.
 4.  The bottom-k of the union of two sketches estimates the similarity; pairs that are clearly below
     the threshold (by six standard deviations) go.  The rest is confirmed on the full sets.
 5.  A document most of whose indexed values are in long lists may have partners that it met in long
-    lists only (a passage that many documents share is most of it).  Where such lists still hold
-    several components, these documents are searched by an exact way: two sets that similar differ in at most d elements, so of d + 1 parts of the
-    universe at least one holds the same elements in both.  Sets meet on such parts, across components
-    only, and are confirmed on the full sets.  A part holds five or more elements, so that a shared
-    passage alone does not bring documents together.  Any other document has so many values in short
-    lists that the chance to share none of them with a partner is 1e-6 at most, or none where the index
-    holds the whole set.  Nothing is capped or dropped.
+    lists only (a passage that many documents share is most of it, or it is in a group of near copies).
+    Where such a list still holds several components, these documents are compared with each other
+    list by list, in blocks: an inverted index of the full sets counts all intersections exactly, and
+    only edges that join two components leave the block, so a group of m copies gives m rows at most.
+    Any other document has so many values in short lists that the chance to share none of them with a
+    partner is 1e-6 at most, or none where the index holds the whole set.  Nothing is capped or dropped.
 
 The links give connected components.  Sets of documents whose sketches met anything are computed from
 whole texts; no other text is moved.
@@ -29,13 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quadrat.llm.common import drop_scratch, materialize, release, table
 from quadrat.operators.graph import connected_components
 
-SKETCH, INDEXED, SHORT_LIST, MISS = 32, 16, 16, 1e-6
+SKETCH, INDEXED, SHORT_LIST, MISS, BLOCK = 32, 16, 16, 1e-6, 1024
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD)
 
@@ -123,53 +122,65 @@ def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def _size_class(n: int, t: float) -> int:
-    return int(math.log(n) / -math.log(t) + 1e-9)
+def joining_edges(sets: list[np.ndarray], labels: np.ndarray, split: int, num: int, den: int) -> list[tuple[int, int]]:
+    """Edges (i, j) of similar sets that join different labels until none is left to join.
 
-
-def part_keys(s: np.ndarray, t: float) -> np.ndarray:
-    """Keys of which two sets of similarity t or more share at least one.
-
-    Sizes fall into classes of ratio t, so partners are in the same class or in neighbouring ones.  A
-    set takes part in the scheme of its own class and in that of the class below.  In the scheme of
-    class c no two partners differ in more than d = floor((1 - t) * largest union) elements, and the
-    universe is cut into d + 1 parts; the key of a part hashes what the set has in it.
+    With split = len(sets) all sets are compared; else those before split with those from it on.
     """
-    own = _size_class(len(s), t)
-    keys = []
-    for c in (own - 1, own):
-        if c < 0:
+    sizes = np.array([len(s) for s in sets])
+    flat = np.concatenate(sets)
+    _, element, times = np.unique(flat, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    by_element = owner[np.argsort(element, kind="stable")]
+    ends = np.cumsum(times)
+    starts, at = ends - times, np.concatenate([[0], np.cumsum(sizes)])
+    labels = labels.copy()
+    one = split == len(sets)
+    out = []
+    for i in range(split):
+        low = i + 1 if one else split
+        if low >= len(sets) or (labels[low:] == labels[i]).all():
+            continue
+        own = element[at[i] : at[i + 1]]
+        own = own[times[own] > 1]
+        if not len(own):
             continue
-        top = t ** -(c + 1)  # larger than every size of class c
-        parts = int((1 - t) * (top + top / t) / (1 + t) + 1e-9) + 1
-        with np.errstate(over="ignore"):
-            u = s.astype(np.uint64)
-            mixed = (u ^ (u >> np.uint64(31))) * _M2
-            mixed ^= mixed >> np.uint64(29)
-            part = (mixed * _M3 >> np.uint64(32)) % np.uint64(parts)
-            sums = np.zeros(parts, np.uint64)
-            np.add.at(sums, part.astype(np.int64), mixed * _M1 | np.uint64(1))
-            k = np.arange(parts, dtype=np.uint64) * _M1 + np.uint64(c + 1) * _M2
-            key = (sums ^ (sums >> np.uint64(33))) * _M3 + k
-            key ^= key >> np.uint64(32)
-        keys.append(key.astype(np.int64))
-    return np.concatenate(keys)
-
-
-def _by_parts(sets: DataFrame, t: float) -> DataFrame:
-    """(v, component, n, key) of (v, component, set)."""
+        both = np.bincount(np.concatenate([by_element[a:b] for a, b in zip(starts[own], ends[own], strict=True)]), minlength=len(sets))[low:]
+        near = np.flatnonzero((both > 0) & (den * both >= num * (sizes[i] + sizes[low:] - both)) & (labels[low:] != labels[i])) + low
+        if len(near):
+            found, first = np.unique(labels[near], return_index=True)
+            out += [(i, int(j)) for j in near[first]]
+            labels[np.isin(labels, found)] = labels[i]
+    return out
+
+
+def _search_lists(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) across components, from (value, x, y, side, v, component, set) sorted by the first three."""
+
+    def solve(left: list, right: list, one: bool) -> list[tuple[int, int]]:
+        every = left if one else left + right
+        if len({r[1] for r in every}) < 2 or not left or not (one or right):
+            return []
+        sets = [np.frombuffer(r[2], np.int64) for r in every]
+        edges = joining_edges(sets, np.array([r[1] for r in every], np.int64), len(left), num, den)
+        return [(every[i][0], every[j][0]) for i, j in edges]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _slices(batches, 64):
-            own = [np.frombuffer(s.as_buffer(), np.int64) for s in b.column(2)]
-            keys = [part_keys(s, t) for s in own]
-            times = [len(k) for k in keys]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.asarray(x, np.int64), times)) for x in (b.column(0).to_pylist(), b.column(1).to_pylist(), [len(s) for s in own])] + [pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))],
-                names=["v", "component", "n", "key"],
-            )
-
-    return sets.select("v", "component", "set").mapInArrow(run, "v long, component long, n long, key long")
+        key, left, right = None, [], []
+        names = ["a", "b"]
+        for batch in batches:
+            edges = []
+            for value, x, y, side, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if (value, x, y) != key:
+                    if key:
+                        edges += solve(left, right, key[1] == key[2])
+                    key, left, right = (value, x, y), [], []
+                (right if side else left).append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=names)
+        edges = solve(left, right, key[1] == key[2]) if key else []
+        yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=names)
+
+    return rows.select("value", "x", "y", "side", "v", "component", "set").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", sketch: int = SKETCH, indexed: int = INDEXED, short_list: int = SHORT_LIST) -> DataFrame:
@@ -181,18 +192,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     """
     t = num / den
     text = F.col(f"`{text_col}`")
-    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"), text.alias("text"))
-    rows = materialize(sketches(own, width, sketch), "sketches")
+    texts_of = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"), text.alias("text"))
+    rows = materialize(sketches(texts_of, width, sketch), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "n", "sketch"))
     reps = materialize(rows.where("n > 0").groupBy("set_key").agg(first.alias("r")).select(F.monotonically_increasing_id().alias("v"), "set_key", "r.doc_id", "r.text_key", "r.n", "r.sketch"), "representatives")
 
     # inverted lists of the retained values
     entries = reps.select("v", F.explode(F.slice("sketch", 1, indexed)).alias("value"))
-    lists = materialize(entries.groupBy("value").agg(F.count("*").alias("size"), F.min("v").alias("hub")).where("size > 1"), "lists")
-    tagged = materialize(entries.join(lists, "value"), "tagged")
+    lists = entries.groupBy("value").agg(F.count("*").alias("size")).where("size > 1")
+    tagged = materialize(entries.join(materialize(lists, "lists"), "value"), "tagged")
+    long_lists = tagged.where(F.col("size") > short_list)
+    in_long = materialize(long_lists.groupBy("v").agg(F.count("*").alias("long"), F.sum("size").alias("company")), "in-long")
+    hubs = long_lists.join(in_long, "v").groupBy("value").agg(F.max(F.struct("company", "v"))["v"].alias("hub"))
     members = tagged.where(F.col("size") <= short_list).groupBy("value").agg(F.collect_list("v").alias("m"))
     short = members.select("m", F.explode("m").alias("a")).select("a", F.explode(F.filter("m", lambda x: x > F.col("a"))).alias("b"))
-    stars = tagged.where((F.col("size") > short_list) & (F.col("v") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("v").alias("b"))
+    stars = long_lists.join(materialize(hubs, "hubs"), "value").where("v != hub").select(F.least("v", "hub").alias("a"), F.greatest("v", "hub").alias("b"))
     met = short.union(stars).distinct()
 
     # the estimate from the union of two sketches
@@ -205,12 +219,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
 
     # full sets of whatever may have to be confirmed
     enough = math.ceil(math.log(MISS) / math.log(1 - t))
-    in_long = tagged.where(F.col("size") > short_list).groupBy("v").agg(F.count("*").alias("long"))
     unsure = F.when(F.col("n") <= indexed, den * F.col("long") >= num * F.col("n")).otherwise(indexed - F.col("long") < enough)
     doubtful = materialize(in_long.join(reps.select("v", "n"), "v").where(unsure).select("v"), "doubtful")
     needed = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).union(doubtful).distinct()
     wanted = needed.join(reps.select("v", "doc_id", "text_key"), "v").select("v", F.coalesce("doc_id", F.lit(-1)).alias("_d"), F.col("doc_id").isNull().alias("_null"), "text_key")
-    keyed = own.select(F.coalesce("doc_id", F.lit(-1)).alias("_d"), F.col("doc_id").isNull().alias("_null"), "text_key", "text")
+    keyed = texts_of.select(F.coalesce("doc_id", F.lit(-1)).alias("_d"), F.col("doc_id").isNull().alias("_null"), "text_key", "text")
     texts = keyed.join(wanted, ["_d", "_null", "text_key"]).select("v", "text")
     sets = materialize(_full_sets(texts, width), "sets")
     release(docs.sparkSession)
@@ -220,19 +233,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
 
     # long lists with several components: an exact search across components
     release(docs.sparkSession)
-    own_comp = tagged.where(F.col("size") > short_list).select("value", "v").join(comps, F.col("v") == F.col("vertex"), "left").select("value", "v", F.coalesce("component", "v").alias("component"))
-    own_comp = materialize(own_comp, "long-lists")
-    mixed = own_comp.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("value")
-    search = own_comp.join(mixed, "value", "left_semi").select("v", "component").distinct().join(doubtful, "v", "left_semi")
-    keys = materialize(_by_parts(search.join(sets, "v"), t), "part-keys")
-    several = keys.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-    keys = materialize(keys.join(several, "key", "left_semi"), "part-keys")
-    x, y = keys.select("key", F.col("v").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na")), keys.select("key", F.col("v").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
-    across = x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (den * F.least("na", "nb") >= num * F.greatest("na", "nb"))).select("a", "b").distinct()
-    more = _confirm(materialize(across, "across"), sets, num, den)
+    first_long = F.row_number().over(Window.partitionBy("v").orderBy("value"))
+    own = long_lists.join(doubtful, "v", "left_semi").select("value", "v", first_long.alias("k")).where(F.col("k") <= enough).select("value", "v")
+    own = materialize(own.join(comps, F.col("v") == F.col("vertex"), "left").select("value", "v", F.coalesce("component", "v").alias("component")), "long-lists")
+    mixed = own.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("lo != hi").select("value", "blocks")
+    dealt = own.join(mixed, "value").withColumn("blk", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+    # a document goes to each pair of its block with another, and to its block alone
+    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumns({"x": F.least("blk", "o"), "y": F.greatest("blk", "o"), "side": (F.col("blk") > F.col("o")).cast("int")})
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = dealt.join(sets, "v").repartition(parts, "value", "x", "y").sortWithinPartitions("value", "x", "y")
+    more = materialize(_search_lists(dealt, num, den), "more-links")
     comps = materialize(connected_components(links.union(more)), "components")
     release(docs.sparkSession)
-    for done in (lists, tagged, sets, pairs):
+    for done in (tagged, sets, pairs, own):
         drop_scratch(done)
 
     named = reps.select("v", "set_key", "doc_id").join(comps, F.col("v") == F.col("vertex"), "left").select("set_key", "doc_id", F.coalesce("component", "v").alias("c"))

@@ -66,9 +66,10 @@ def corpus(seed):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_equals_brute_force(spark, seed):
+def test_equals_brute_force(spark, seed, monkeypatch):
     rows = corpus(seed) + [(900, None), (901, ""), (902, " \n"), (903, "a"), (904, "A"), (905, "a b"), (906, "b a"), (907, "É x y"), (908, "é x y"), (7, "a b"), (None, "a b"), (None, None), (903, "a")]
     assert run(spark, rows) == brute(rows, 3, 85, 100)
+    monkeypatch.setattr(N, "BLOCK", 9)
     assert run(spark, rows, short_list=3) == brute(rows, 3, 85, 100)  # all but the shortest lists go the exact way
 
 
@@ -77,15 +78,24 @@ def test_five_words(spark):
     assert run(spark, rows, 5, 80, 100, short_list=4) == brute(rows, 5, 80, 100)
 
 
-def test_part_keys_lose_no_pair():
-    rnd = np.random.default_rng(0)
-    for _ in range(300):
-        n, t = int(rnd.integers(1, 400)), float(rnd.choice([0.8, 0.85, 0.5]))
-        a = np.unique(rnd.integers(0, 2**62, n))
-        b = np.unique(np.concatenate([rnd.choice(a, int(rnd.integers(0, n + 1)), replace=False), rnd.integers(0, 2**62, int(rnd.integers(0, n // 3 + 2)))]))
-        both = len(np.intersect1d(a, b))
-        if len(b) and both >= t * (len(a) + len(b) - both):
-            assert len(np.intersect1d(N.part_keys(a, t), N.part_keys(b, t)))
+@pytest.mark.parametrize("seed", range(20))
+def test_joining_edges(seed):
+    rnd = np.random.default_rng(seed)
+    base = np.arange(60)
+    sets = [np.unique(np.concatenate([rnd.choice(base, int(rnd.integers(40, 60)), replace=False), rnd.integers(100, 200, int(rnd.integers(0, 8)))])) for _ in range(25)]
+    labels = rnd.integers(0, 12, 25) if seed % 2 else np.arange(25)
+
+    def groups(edges):
+        lab = labels.copy()
+        for i, j in edges:
+            lab[lab == lab[j]] = lab[i]
+        return len(set(lab)), [{k for k in range(25) if lab[k] == lab[m]} for m in range(25)]
+
+    near = lambda i, j: 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))
+    for split in (25, 10):
+        every = [(i, j) for i in range(split) for j in range(i + 1 if split == 25 else split, 25) if near(i, j)]
+        got = N.joining_edges(sets, labels, split, 75, 100)
+        assert all(near(i, j) for i, j in got) and groups(got) == groups(every) and len(got) == len(set(labels)) - groups(every)[0]
 
 
 def test_empty_table_and_copies(spark):
