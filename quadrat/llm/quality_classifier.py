@@ -1,9 +1,9 @@
 """A quality classifier: random-indexing word vectors, pooled, and a two-layer network in numpy.
 
-Random indexing: a feature of a text (a word, or the shape of a word: its case and the symbols in it)
-has a sparse ternary index vector that follows from its hash.  Its context vector adds up the index
-vectors of its neighbours over the training texts; its vector is the index vector plus the direction
-of the context vector.  A word that training has not seen has its index vector alone.  A text pools
+Random indexing: a word, and the shape of a word (its case and the symbols in it), has a sparse ternary
+index vector that follows from its hash.  A word's context vector adds up the index vectors of its
+neighbours over the training texts; its vector is the index vector plus the direction of the context
+vector.  A word that training has not seen, and a shape, has its index vector alone.  A text pools
 the vectors of all its words: their mean, the spread around it, and how its words repeat.
 
 The network (tanh, then logistic) is fitted on a bounded sample of labelled rows; a part of it set
@@ -31,86 +31,79 @@ VOCABULARY = 20_000
 _SHAPE = bytes(ord("A") if 65 <= c <= 90 else ord("a") if 97 <= c <= 122 or c >= 128 else ord("0") if 48 <= c <= 57 else c for c in range(256))
 
 
-def _index_vector(feature: bytes) -> np.ndarray:
+def hashes(features: list[bytes]) -> np.ndarray:
     import xxhash
 
-    v = np.zeros(DIM, np.float32)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, features), np.uint64, len(features))
+
+
+def index_sum(h: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weighted sum of the index vectors of some hashes: seven bits each for the place and sign of a component."""
+    out = np.zeros(DIM)
     for k in range(NONZERO):
-        h = xxhash.xxh3_64_intdigest(feature, seed=k)
-        v[h % DIM] += 1.0 if h >> 32 & 1 else -1.0
-    return v / np.sqrt(NONZERO)
+        bits = h >> np.uint64(7 * k)
+        sign = 1.0 - 2.0 * (bits >> np.uint64(6) & np.uint64(1)).astype(np.float64)
+        out += np.bincount((bits & np.uint64(DIM - 1)).astype(np.int64), weights=weights * sign, minlength=DIM)
+    return out / np.sqrt(NONZERO)
+
+
+def index_matrix(features: list[bytes]) -> np.ndarray:
+    h = hashes(features)
+    return np.stack([index_sum(h[i : i + 1], np.ones(1)) for i in range(len(h))]) if features else np.zeros((0, DIM))
 
 
 def shape(word: bytes) -> bytes:
     """Runs of the same kind of character as one: b"THE!!" to b"A!"."""
     s = word.translate(_SHAPE)
-    return b"\0" + bytes(c for i, c in enumerate(s) if not i or s[i - 1] != c)[:8]
+    return bytes(c for i, c in enumerate(s) if not i or s[i - 1] != c)[:8]
 
 
 class Vectors:
-    """Vectors of words and of shapes; those not learned are made when asked for."""
+    """Vectors of words: those learned have a row; of the others the index vectors are summed as they are."""
 
     def __init__(self, context: dict[bytes, np.ndarray] | None = None) -> None:
         self.context = context or {}
-        self.rows: dict[bytes, int] = {}
-        self.matrix = np.zeros((1024, DIM), np.float32)
+        self.rows = {w: i for i, w in enumerate(self.context)}
+        self.matrix = index_matrix(list(self.rows)) + (np.stack(list(self.context.values())) if self.context else 0)
         self.shapes: dict[bytes, bytes] = {}
 
-    def row(self, feature: bytes) -> int:
-        i = self.rows.get(feature)
-        if i is None:
-            i = self.rows[feature] = len(self.rows)
-            if i == len(self.matrix):
-                self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
-            self.matrix[i] = _index_vector(feature)
-            c = self.context.get(feature)
-            if c is not None:
-                self.matrix[i] += c
-        return i
-
-    def trim(self, most: int = 200_000) -> None:
-        """Forget what was made, when it has become much."""
-        if len(self.rows) > most:
-            self.rows, self.shapes, self.matrix = {}, {}, np.zeros((1024, DIM), np.float32)
-
-    def shape_of(self, word: bytes) -> bytes:
-        s = self.shapes.get(word)
-        if s is None:
-            s = self.shapes[word] = shape(word)
-        return s
-
     def pool(self, text: str | None) -> np.ndarray:
         """The pooled vector of a text; zeros for one without words."""
-        words = Counter((text or "").encode().split())
+        raw = (text or "").encode()
+        words = Counter(raw.lower().split())
         out = np.zeros(2 * DIM + 4)
         n = sum(words.values())
         if not n:
             return out
-        shapes: Counter = Counter()
-        for w, k in words.items():
-            shapes[self.shape_of(w)] += k
-        folded: Counter = Counter()
-        for w, k in words.items():
-            folded[w.lower()] += k
-        for at, found in ((0, folded), (DIM, shapes)):
-            rows = np.fromiter((self.row(f) for f in found), np.int64, len(found))
-            share = np.fromiter(found.values(), np.float64, len(found)) / n
-            out[at : at + DIM] = share @ self.matrix[rows]
-        repeats = sum(k * k for k in folded.values()) / n / n
-        out[2 * DIM :] = np.log1p(n) / 10, len(folded) / n, np.sqrt(repeats), np.linalg.norm(out[:DIM])
+        get = self.rows.get
+        at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        share = np.fromiter(words.values(), np.float64, len(words)) / n
+        known = at >= 0
+        out[:DIM] = share[known] @ self.matrix[at[known]] if known.any() else 0
+        if not known.all():
+            out[:DIM] += index_sum(hashes([w for w in words if get(w, -1) < 0]), share[~known])
+        kinds: Counter = Counter()
+        if len(self.shapes) > 100_000:
+            self.shapes.clear()
+        for w, k in Counter(raw.translate(_SHAPE).split()).items():
+            s = self.shapes.get(w)
+            if s is None:
+                s = self.shapes[w] = b"\0" + shape(w)
+            kinds[s] += k
+        out[DIM : 2 * DIM] = index_sum(hashes(list(kinds)), np.fromiter(kinds.values(), np.float64, len(kinds)) / n)
+        out[2 * DIM :] = np.log1p(n) / 10, len(words) / n, np.sqrt((share * share).sum()), np.linalg.norm(out[:DIM])
         return out
 
 
 def learn_vectors(texts: list[str], window: int = 2, most: int = VOCABULARY) -> Vectors:
-    """Context vectors of the most frequent words and of all shapes in some texts."""
-    split = [t.encode().split() for t in texts]
-    counts = Counter(w.lower() for ws in split for w in ws)
+    """Context vectors of the most frequent words in some texts."""
+    split = [t.encode().lower().split() for t in texts]
+    counts = Counter(w for ws in split for w in ws)
     known = {w: i for i, (w, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:most])}
-    plain = Vectors()
-    index = np.stack([_index_vector(w) for w in known]) if known else np.zeros((0, DIM), np.float32)
-    sums = np.zeros((len(known), DIM), np.float32)
+    index = index_matrix(list(known))
+    sums = np.zeros((len(known), DIM))
     for ws in split:
-        at = np.array([known.get(w.lower(), -1) for w in ws], np.int64)
+        at = np.array([known.get(w, -1) for w in ws], np.int64)
         for d in range(1, window + 1):
             a, b = at[:-d], at[d:]
             ok = (a >= 0) & (b >= 0)
@@ -118,8 +111,7 @@ def learn_vectors(texts: list[str], window: int = 2, most: int = VOCABULARY) ->
             np.add.at(sums, b[ok], index[a[ok]])
     norm = np.linalg.norm(sums, axis=1, keepdims=True)
     sums /= np.where(norm > 0, norm, 1)
-    plain.context = {w: sums[i] for w, i in known.items()}
-    return plain
+    return Vectors({w: sums[i].astype(np.float32) for w, i in known.items()})
 
 
 class Network:
@@ -202,7 +194,6 @@ def score(docs: DataFrame, model: tuple[dict[bytes, np.ndarray], Network], text_
             _WORKER[key] = Vectors(shared.value[0])
         vectors = _WORKER[key]
         for texts in batches:
-            vectors.trim()
             x = np.stack([vectors.pool(t) for t in texts]) if len(texts) else np.zeros((0, 2 * DIM + 4))
             yield pd.Series(shared.value[1].probability(x))
 

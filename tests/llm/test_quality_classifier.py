@@ -28,4 +28,4 @@ def test_odd_tables(spark):
 def test_vectors_follow_neighbours():
     v = C.learn_vectors(["red fox runs fast", "red dog runs fast", "blue sky sits still", "blue sea sits still"] * 20)
     near = lambda a, b: float(v.context[a] @ v.context[b])
-    assert near(b"fox", b"dog") > near(b"fox", b"sky") and C.shape(b"THE!!") == b"\0A!"
+    assert near(b"fox", b"dog") > near(b"fox", b"sky") and C.shape(b"THE!!") == b"A!"
