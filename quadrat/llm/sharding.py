@@ -26,6 +26,8 @@ from quadrat.llm.common import release, scratch_path, table
 
 ARRIVAL_DOCS = 2000
 SMALL, TARGET, FANOUT, MIN_RUN, WINDOW = 1 << 20, 64 << 20, 4, 4, 4096
+#: Names of shards and counts of arrivals are broadcast up to so many rows (of some 50 bytes).
+MAX_BROADCAST_ROWS = 100_000
 SHARDS = "shard string, tier int, arrival long, part long, n_rows long, n_bytes long, path string"
 
 
@@ -88,14 +90,18 @@ class ShardStore:
         rows.repartition(n, "shard").write.partitionBy("shard").option("compression", "zstd").parquet(path)
         return path
 
+    def _small(self, names: DataFrame, rows: int) -> DataFrame:
+        """A table of so many short rows, to be broadcast if that is less than some ten MB; else the join is left to Spark."""
+        return F.broadcast(names) if rows <= MAX_BROADCAST_ROWS else names
+
     def append(self, docs: DataFrame, arrival: Column, id_col: str = "doc_id", text_col: str = "text") -> int:
         """Add all rows of docs, as small shards of their arrivals; the new version."""
         base = self.version()
         text, key = F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
         sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(arrival, F.lit(-1)).cast("long").alias("arrival"), F.octet_length(text).cast("long").alias("n_bytes"), F.conv(F.substring(F.md5(F.concat(key, F.lit("|"), text)), 1, 8), 16, 10).cast("long").alias("hash"))
         parts = sized.groupBy("arrival").agg(F.greatest(F.lit(1), F.ceil(F.sum("n_bytes") / self.small)).cast("long").alias("parts"), F.sum("n_bytes").alias("all"))
-        total = parts.agg(F.coalesce(F.sum("all"), F.lit(0))).first()[0]
-        dealt = sized.join(parts.drop("all"), "arrival").withColumn("part", F.pmod(F.col("hash"), F.col("parts")))
+        total, arrivals = parts.agg(F.coalesce(F.sum("all"), F.lit(0)), F.count("*")).first()
+        dealt = sized.join(self._small(parts.drop("all"), arrivals), "arrival").withColumn("part", F.pmod(F.col("hash"), F.col("parts")))
         shard = F.concat(F.lit(f"s{base + 1}-"), F.col("arrival"), F.lit("-"), F.col("part"))
         path = self._write(dealt.select("row", "arrival", "part", "n_bytes", shard.alias("shard")), total)
         release(self.spark)
@@ -122,12 +128,12 @@ class ShardStore:
         base = self.version()
         planned = self.plan(self.manifest(base))
         merged = planned.where("run IS NOT NULL")
-        groups = merged.groupBy("path").agg(F.sum("n_bytes").alias("n")).collect()  # one row for each append or compaction that is still in use
+        groups = merged.groupBy("path").agg(F.sum("n_bytes").alias("n"), F.count("*").alias("shards")).collect()  # one row for each append or compaction that is still in use
         if not groups:
             return base
         names = merged.select("shard", F.concat(F.lit(f"{base + 1}"), F.lit("."), F.col("run")).alias("run"))
         rows = reduce(DataFrame.unionByName, [self.spark.read.parquet(g["path"]) for g in sorted(groups, key=lambda g: g["path"])])
-        rows = rows.join(names, "shard").select("row", "arrival", "part", "n_bytes", F.col("run").alias("shard"))
+        rows = rows.join(self._small(names, sum(g["shards"] for g in groups)), "shard").select("row", "arrival", "part", "n_bytes", F.col("run").alias("shard"))
         path = self._write(rows, sum(g["n"] for g in groups))
         release(self.spark)
         made = self.spark.read.parquet(path).groupBy("shard").agg(F.min("arrival").alias("arrival"), F.lit(None).cast("long").alias("part"), F.count("*").alias("n_rows"), F.sum("n_bytes").alias("n_bytes"))
