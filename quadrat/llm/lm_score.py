@@ -238,8 +238,8 @@ def _mix(texts: DataFrame, tables, rate: float = 0.02, step: int = 2048) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixer, total, own = Mixer(), np.zeros(GATES), tables.value
-        for b in _slices(batches):
-            w, n = counted_windows(_texts(b, 0))
+
+        def learn(w: np.ndarray, n: np.ndarray) -> None:
             order = np.random.default_rng(len(w)).permutation(len(w))
             for at in range(0, len(w), step):
                 part = order[at : at + step]
@@ -247,7 +247,15 @@ def _mix(texts: DataFrame, tables, rate: float = 0.02, step: int = 2048) -> Data
                     x, gate = own.inputs(w[part], bit)
                     one = (w[part] >> np.uint64(7 - bit) & np.uint64(1)).astype(np.float64)
                     mixer.learn(x, gate, one, n[part].astype(np.float64), bit, rate)
-                    total += np.bincount(gate, weights=n[part], minlength=GATES)
+                    np.add(total, np.bincount(gate, weights=n[part], minlength=GATES), out=total)
+
+        bits = counted_windows([])
+        for b in _slices(batches):
+            bits = merge_counts(bits, counted_windows(_texts(b, 0)))
+            if len(bits[0]) > 4_000_000:  # equal windows are learned from together while memory allows
+                learn(*bits)
+                bits = counted_windows([])
+        learn(*bits)
         if total.any():
             what = ["w"] * mixer.weights.size + ["r"] * len(mixer.seen)
             times = np.repeat(total, ORDERS + 1)
