@@ -76,3 +76,43 @@ def test_probabilities_add_up():
 def test_windows():
     w, starts, ends = L.windows([b"ab", b""])
     assert [int(x) for x in w[starts[0] : ends[0]]] == [0x61, 0x6162, 0x616200] and (starts[1], ends[1]) == (ends[0] + 5, ends[0] + 6) and w[starts[1]] == 0
+
+
+def test_contexts_are_counted_apart():
+    """As many contexts as there are, none of them with the counts of another: more than any number of slots fixed beforehand."""
+    rng = np.random.default_rng(0)
+    w = np.unique(rng.integers(0, 1 << 48, 400_000).astype(np.uint64))
+    n = rng.integers(1, 200, len(w))
+    first = np.zeros(65536, np.int64), np.zeros(65536, np.int64)
+    some = rng.choice(len(w), 5000, replace=False)
+    for bit, (x, _) in enumerate(L.Contexts(first, w, n).each(w[some])):
+        one = w[some] >> np.uint64(7 - bit) & np.uint64(1)
+        zeros, ones = np.where(one, 0, n[some]), np.where(one, n[some], 0)
+        assert np.abs(x[:, 4] - np.log((ones + 0.05) / (zeros + 0.05)).clip(-12, 12)).max() < 1e-4
+
+
+def test_contexts_equal_brute_force():
+    text = b"the cat and the dog and the hen; that hat " * 3
+    w, n = L.counted_windows([text, b"other words"])
+    first = np.full(65536, 1000), np.full(65536, 1000)
+    for own in (0, 1):
+        for bit, (x, gate) in enumerate(L.Contexts(first, w, n).each(w, own)):
+            for i, v in enumerate(int(v) for v in w):
+                for k in range(2, 6):
+                    same = [(int(u), m) for u, m in zip(w, n) if int(u) >> 8 & (1 << 8 * k) - 1 == v >> 8 & (1 << 8 * k) - 1 and (int(u) & 255) >> 8 - bit == (v & 255) >> 8 - bit]
+                    c = [sum(m for u, m in same if u >> 7 - bit & 1 == one) - own * (v >> 7 - bit & 1 == one) for one in (0, 1)]
+                    assert x[i, k - 1] == pytest.approx(math.log((c[1] + 0.05) / (c[0] + 0.05)), rel=1e-4, abs=1e-6)
+
+
+def test_shards_and_chunks_do_not_change_scores(spark, monkeypatch):
+    rows = [(i, f"plot {i % 9} of the forest number {i * 37 % 101}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    one = L.Model(df)
+    monkeypatch.setattr(L, "SHARD_BYTES", 10_000)
+    many = L.Model(df)
+    assert one.shards == 1 and many.shards > 5
+    many.mixer = one.mixer
+    want = {r["doc_id"]: r["score"] for r in L.score(df, one).collect()}
+    monkeypatch.setattr(L, "CHUNK_BYTES", 20_000)
+    got = {r["doc_id"]: r["score"] for r in L.score(df, many).collect()}
+    assert len(got) == 3000 and all(got[d] == pytest.approx(want[d], rel=1e-6) for d in want)
