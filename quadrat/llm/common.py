@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,3 +34,17 @@ def crc_bucket(doc_id: Column, modulus: int) -> Column:
 def same_columns(docs: DataFrame, out: DataFrame) -> DataFrame:
     """out with the columns of docs, in their order and types."""
     return out.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in docs.schema])
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], column: int, rows: int = 2000, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in slices of so many rows and of so many bytes in a string or binary column, or of one longer row."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < b.num_rows:
+            done = size[at - 1] if at else 0
+            end = min(at + rows, max(at + 1, int(np.searchsorted(size, done + most, "right"))))
+            yield b.slice(at, end - at)
+            at = end

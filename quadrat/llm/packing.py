@@ -3,8 +3,9 @@
 Texts are tokenized in Arrow batches.  Packing works on the *counts* of piece lengths, of which there
 are at most ``capacity``, whatever the number of documents: the driver never sees a document.
 
-1.  Martello-Toth reduction: for the longest pieces, a small set that provably dominates every other
-    set with that piece in it is fixed for good, and the instance shrinks.  Dominance used: a piece
+1.  Martello-Toth reduction: for each length, from the longest, a small set that provably dominates
+    every other set with such a piece in it is fixed for good, and the instance shrinks, until no
+    length has such a set.  Dominance used: a piece
     with which nothing fits stays alone; an exact complement; the largest partner where only one more
     piece fits; the largest partner where two more fit, but no such pair is larger than it.
 2.  Best-fit decreasing packs the rest.  Pieces of one length are placed together, group of bins by
@@ -19,27 +20,32 @@ from __future__ import annotations
 
 import bisect
 import re
-import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quadrat.llm.common import materialize, table
+from quadrat.llm.common import byte_slices, materialize, table
+from quadrat.llm.worker import Generations, state
 
 CAPACITY = 4096
 END_ID = 1
-#: Entries of tokenized chunks and pieces in each of the two generations that a Python worker keeps.
-MAX_CHUNKS, MAX_PIECES = 400_000, 600_000
+#: Bytes of tokenized pieces that a Python worker keeps.
+CACHE = 96 << 20
 RANK_BLOCK = 256
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
-# Letters and digits up to U+00FF as the tokenizer's own splitting pattern sees them
-_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿªµº]+|[0-9²³¹¼½¾]|[^a-zß-öø-ÿªµº0-9²³¹¼½¾]+")
-_PLAIN = re.compile("[\x21-\x7e\xa1-\xac\xae-\xff]*")
+#: Kinds of bytes in plain text; ODD is any other byte.
+SPACE, LETTER, DIGIT, SYMBOL, ODD = range(5)
+_KIND = np.array([SPACE if c in b" \t\n\v\f\r" else DIGIT if 48 <= c <= 57 else LETTER if chr(c).isascii() and chr(c).isalpha() else SYMBOL if 33 <= c <= 126 else ODD for c in range(256)], np.uint8)
+_LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
+#: What can follow an apostrophe in a piece of its own.
+_SHORT, _LONG = b"stmd", (b"re", b"ve", b"ll")
+_PLAIN = b"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[0-9]|[!-/:-@\\[-`{-~]+|'(?:[stmd]|re|ve|ll)"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -52,67 +58,103 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
-class Generations:
-    """A dictionary, ``now``, that keeps what was used lately: when full it becomes the old one, from which what is asked for comes back."""
+def split_pieces(texts: pa.Array, literals: tuple[bytes, ...] = ()) -> tuple[pa.Array, np.ndarray]:
+    """(the pieces of all texts, one after another; where the pieces of each text end).
 
-    def __init__(self, most: int) -> None:
-        self.most, self.now, self.old = most, {}, {}
-
-    def absent(self, keys: set) -> list:
-        """Those of keys that neither generation has; all others are in ``now`` then."""
-        if len(self.now) > self.most:
-            self.now, self.old = {}, self.now
-        now, old = self.now, self.old
-        out = []
-        for k in keys.difference(now):
-            if k in old:
-                now[k] = old[k]
-            else:
-                out.append(k)
-        return out
-
-
-class ChunkTokenizer:
-    """ids of texts, as 4-byte little-endian strings.
-
-    White space ends a token for this tokenizer, so the ids of a text are those of its chunks between
-    white space, one after another.  Chunks of ASCII and Latin-1 are split further, as the tokenizer
-    splits them, so that rare words are tokenized once, whatever stands beside them.
+    White space separates chunks.  A chunk of ASCII and of letters up to U+00FF is put in lower case and
+    cut into runs of letters, single digits, runs of symbols, and contractions that begin with an
+    apostrophe, as the tokenizer cuts it.  A chunk with any other byte, or with the first two bytes of a
+    literal, stays whole and as it is.
+    """
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    ends = offsets[1:] - offsets[0]
+    starts = (offsets[:-1] - offsets[0])[np.diff(offsets) > 0]
+    if not len(data):
+        return pa.array([], pa.binary()), np.zeros(len(texts), np.int64)
+    kind, low = _KIND[data], _LOWER[data]
+    lead = np.flatnonzero(data == 0xC3)
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    kind[lead] = kind[lead + 1] = LETTER
+    low[lead + 1] += np.where(data[lead + 1] <= 0x9E, 32, 0).astype(np.uint8)
+    before = np.concatenate([[np.uint8(SPACE)], kind[:-1]])
+    before[starts] = SPACE
+    solid = kind != SPACE
+    first = solid & (before == SPACE)
+    cut = solid & ((kind != before) | (kind == DIGIT))
+    # contractions: the apostrophe begins a piece, and letters of the same chunk follow
+    at = np.flatnonzero((data == 39) & cut)
+    near = lambda k: np.where((at + k < len(data)) & (before[(at + k).clip(max=len(data) - 1)] != SPACE), low[(at + k).clip(max=len(data) - 1)], 0)
+    c1, c2 = near(1), near(2)
+    size = np.where(np.isin(c1, list(_SHORT)), 1, 0)
+    for a, b in _LONG:
+        size = np.where((c1 == a) & (c2 == b), 2, size)
+    at, size = at[size > 0], size[size > 0]
+    cut[at + 1] = False
+    after = at + size + 1
+    after = after[after < len(data)]
+    cut[after] = solid[after]
+    chunk = np.cumsum(first) - 1
+    odd = kind == ODD
+    for x in literals:
+        odd[:-1] |= (data[:-1] == x[0]) & (data[1:] == x[1])
+    if odd.any():
+        whole = np.zeros(chunk[-1] + 2, bool)
+        whole[chunk[odd]] = True
+        whole = whole[chunk] & solid
+        cut[whole] = first[whole]
+        low[whole] = data[whole]
+    spans = np.append(np.flatnonzero(cut[solid]), np.count_nonzero(solid)).astype(np.int32)
+    pieces = pa.Array.from_buffers(pa.binary(), len(spans) - 1, [None, pa.py_buffer(spans), pa.py_buffer(low[solid])])
+    return pieces, np.concatenate([[0], np.cumsum(cut)])[ends]
+
+
+class PieceTokenizer:
+    """ids of texts, as the tokenizer's library gives them without special tokens added.
+
+    White space ends a token for this tokenizer, and so do the ends of its pieces, so the ids of a text
+    are those of its pieces.  Arrow numbers the distinct pieces of a batch; each is tokenized once while
+    it is in use, by the library's model, or where a piece is not plain by the whole library.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.literals = tuple(t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values())
         self.model = self.tokenizer.model
-        self.chunks, self.pieces = Generations(MAX_CHUNKS), Generations(MAX_PIECES)
-
-    def _encode(self, piece: str) -> bytes:
-        """One piece: as its normal form is known up to U+00FF, the library's model takes it at once."""
-        if _PLAIN.fullmatch(piece):
-            ids = [t.id for t in self.model.tokenize(piece.translate(_LETTERS))]
-        else:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [(t or "").encode().split() for t in texts]
-        parts = {}
-        for c in self.chunks.absent(set().union(*split)):
-            s = c.decode()
-            parts[c] = _SPLIT.findall(s.lower()) if _PLAIN.fullmatch(s) else [s]
-        new = self.pieces.absent({p for ps in parts.values() for p in ps})
-        chunks, pieces = self.chunks.now, self.pieces.now
-        for p in new:
-            pieces[p] = self._encode(p)
-        for c, ps in parts.items():
-            chunks[c] = b"".join([pieces[p] for p in ps])
-        for s in split:
-            yield b"".join([chunks[c] for c in s])
-
-
-_TOKENIZERS: dict[str, ChunkTokenizer] = {}
+        odd = b"|".join(re.escape(x[:2]) for x in self.literals) or b"\\Z."
+        self.plain = re.compile(b"(?s)(?!.*?(?:" + odd + b"))(?:" + _PLAIN + b")").fullmatch
+        self.known = Generations(CACHE)
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        plain, put = [], self.known.put
+        for p in pieces:
+            if self.plain(p):
+                plain.append(p)
+            else:
+                put(p, np.array(self.tokenizer.encode(p.decode(), add_special_tokens=False).ids, "<u4").tobytes())
+        made = list(map(self.model.tokenize, [p.decode() if p.isascii() else p.decode().translate(_LETTERS) for p in plain]))
+        ids = np.array([t.id for own in made for t in own], "<u4").tobytes()
+        at = 0
+        for p, own in zip(plain, made, strict=True):
+            put(p, ids[at : at + 4 * len(own)])
+            at += 4 * len(own)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, one after another; where the ids of each text end)."""
+        pieces, text_ends = split_pieces(pc.fill_null(texts, ""), self.literals)
+        coded = pieces.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        self._learn(self.known.absent(set(names)))
+        found = [self.known.now[p] for p in names]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        at = coded.indices.to_numpy()
+        first, n = (np.cumsum(size) - size)[at], size[at]
+        ends = np.cumsum(n)
+        ids = np.frombuffer(b"".join(found), "<u4")
+        ids = ids[np.arange(n.sum()) + np.repeat(first - ends + n, n)]
+        return ids, np.concatenate([[0], ends])[text_ends]
 
 
 def tokenizer_path() -> str:
@@ -126,19 +168,22 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = path or tokenizer_path()
-        if own not in _TOKENIZERS:
-            _TOKENIZERS[own] = ChunkTokenizer(own)
-        tok, end, step = _TOKENIZERS[own], np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
-        for big in batches:
-            for batch in (big.slice(i, 1000) for i in range(0, big.num_rows, 1000)):
-                rows = []
-                for doc, ids in zip(batch.column(0).to_pylist(), tok(batch.column(1).to_pylist()), strict=True):
-                    ids += end
-                    for k, at in enumerate(range(0, len(ids), step)):
-                        part = ids[at : at + step]
-                        rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
-                cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        tok = state(("tokenizer", own), lambda: PieceTokenizer(own))
+        for batch in byte_slices(batches, 1):
+            ids, ends = tok(batch.column(1))
+            last = ends + np.arange(len(ends))  # where the end ids go
+            every = np.full(len(ids) + len(ends), end_id, "<u4")
+            every[np.delete(np.arange(len(every)), last)] = ids
+            starts = np.concatenate([[0], last + 1])
+            size = np.diff(starts)
+            pieces = -(-size // capacity)
+            doc = np.repeat(np.arange(len(size)), pieces)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            length = np.minimum(size[doc] - piece * capacity, capacity)
+            at = starts[doc] + piece * capacity
+            view = memoryview(every).cast("B")
+            crc = [zlib.crc32(view[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(piece * capacity, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(cut, PIECES)
 
@@ -150,6 +195,7 @@ class Plan:
         if any(not 0 < s <= capacity for s in counts):
             raise ValueError("lengths must be in 1..capacity")
         self.capacity, self.left = capacity, {s: n for s, n in counts.items() if n}
+        self.sizes = sorted(self.left)
         self.used: dict[int, int] = dict.fromkeys(counts, 0)
         self.runs: list[tuple[int, int, int, int, int, int]] = []
         self.bins = self.fixed = 0
@@ -163,35 +209,45 @@ class Plan:
         self.left[s] -= n
         if not self.left[s]:
             del self.left[s]
+            del self.sizes[bisect.bisect_left(self.sizes, s)]
 
     def _reduce(self) -> None:
+        """Go over all lengths, the longest first, as long as a set can be fixed for one of them."""
         done = False
-        while self.left and not done:
-            sizes = sorted(self.left)
-            s = sizes[-1]
-            room, n = self.capacity - s, self.left[s]
-            low = [x for x in sizes[:3] for _ in range(min(3, self.left[x] - (x == s)))][:3]  # the smallest others
-            if not low or low[0] > room:
-                self._place(s, n, self.bins, 1, 0)
-                self.bins += n
-                continue
-            i = bisect.bisect_right(sizes, room)
-            t = sizes[i - 1]  # the largest that fits beside s
-            pairs_fit, triples_fit = len(low) > 1 and low[0] + low[1] <= room, len(low) > 2 and sum(low) <= room
-            if t == room or not pairs_fit or not triples_fit and t >= self._best_pair(sizes[:i], room):
-                k = n // 2 if t == s else min(n, self.left[t])
-                if k:
-                    self._place(s, k, self.bins, 1, 0)
-                    self._place(t, k, self.bins, 1, s)
-                    self.bins += k
-                    continue
+        while not done:
             done = True
-
-    def _best_pair(self, sizes: list[int], room: int) -> int:
+            for s in sorted(self.left, reverse=True):
+                while s in self.left and self._fix(s):
+                    done = False
+
+    def _fix(self, s: int) -> bool:
+        """Fix the set that dominates all sets with a piece of length s, if there is one."""
+        room, n, own = self.capacity - s, self.left[s], self.sizes
+        there = lambda x: self.left[x] - (x == s)
+        low = [x for x in own[:4] for _ in range(min(3, there(x)))][:3]  # the smallest others
+        if not low or low[0] > room:
+            self._place(s, n, self.bins, 1, 0)
+            self.bins += n
+            return True
+        i = bisect.bisect_right(own, room)
+        if not there(own[i - 1]):
+            i -= 1
+        t = own[i - 1]  # the largest that fits beside s
+        pairs_fit, triples_fit = len(low) > 1 and low[0] + low[1] <= room, len(low) > 2 and sum(low) <= room
+        if t == room or not pairs_fit or not triples_fit and t >= self._best_pair([x for x in own[:i] if there(x)], room, there):
+            k = n // 2 if t == s else min(n, self.left[t])
+            self._place(s, k, self.bins, 1, 0)
+            self._place(t, k, self.bins, 1, s)
+            self.bins += k
+            return True
+        return False
+
+    @staticmethod
+    def _best_pair(sizes: list[int], room: int, there: Callable[[int], int]) -> int:
         """The largest sum within room of two pieces that are there."""
         best, i, j = 0, 0, len(sizes) - 1
         while i <= j:
-            if i == j and self.left[sizes[i]] < 2:
+            if i == j and there(sizes[i]) < 2:
                 break
             total = sizes[i] + sizes[j]
             if total <= room:
@@ -239,10 +295,12 @@ class Plan:
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """pieces (any columns, and length) with sequence_id and offset; pieces is read several times, so pass a written table.
 
-    Rows are told apart by their place in the table, so repeated rows are packed one by one.
+    Rows are told apart by their place in the table, so repeated rows are packed one by one; columns of
+    pieces may have any names, and none is changed.
     """
     spark = pieces.sparkSession
-    named = materialize(pieces.withColumn("_uid", F.monotonically_increasing_id()), "packing-pieces")
+    rows = pieces.select(F.struct(*[F.col(f"`{c}`") for c in pieces.columns]).alias("row"), F.col("length"))
+    named = materialize(rows.withColumn("_uid", F.monotonically_increasing_id()), "packing-pieces")
     counts = {r["length"]: r["count"] for r in named.groupBy("length").count().collect()}  # at most `capacity` rows
     plan = Plan(counts, capacity)
     chunks = max(16, -(-sum(counts.values()) // 100_000))
@@ -259,7 +317,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     placed = ranked.join(runs, (F.col("length") == F.col("_len")) & (F.col("_block") == F.col("_b")) & inside)
     at = F.col("_rank") - F.col("_from")
     return placed.select(
-        *[F.col(f"`{c}`") for c in pieces.columns],
+        "row.*",
         (F.col("_bin") + F.floor(at / F.col("_per"))).cast("long").alias("sequence_id"),
         (F.col("_offset") + F.pmod(at, F.col("_per")) * F.col("length")).cast("long").alias("offset"),
     )

@@ -82,11 +82,11 @@ def test_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     odd = [(-1, None), (-2, ""), (-3, "'s It's <|endoftext|> É1²x\xa0y ﬁ ς Σ é İ z\x1cq"), (-4, "ab " * 9000), (-4, "ab " * 9000), (None, "x")]
     docs = docs.unionByName(spark.createDataFrame(odd, "doc_id long, text string")).selectExpr("*", "1 length", "2 _uid")
+    assert P.pack(P.tokenize(docs).selectExpr("*", "7 _uid", "8 `row`")).where("_uid = 7 AND `row` = 8").count() > 1000
     got = P.pack_documents(docs).collect()
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.tokenizer_path())
-    t.encode_special_tokens = True
     want = defaultdict(int)
     for r in docs.collect():
         ids = t.encode(r["text"] or "", add_special_tokens=False).ids + [1]
@@ -106,5 +106,30 @@ def test_documents(spark, sf_dir):
         assert at <= 4096
 
 
+def test_pieces_are_those_of_the_library():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    t, tok = Tokenizer.from_file(P.tokenizer_path()), P.PieceTokenizer(P.tokenizer_path())
+    rnd = random.Random(5)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "'s", "'RE", "''ll", "'d'm", "don't", "É", "\xd7", "\xf7", "ß", "µ", "²", "\xa0", "\u0301", "ﬁ", "İ", "中文", "🙂", "\x1c", "\x7f", " ", "\n", "\t ", "a", "Zz", "12", ",", "'", "`[", "\\", "x" * 50, "«¿Qué?»"]
+    texts = [None, "", " ", "\n\n", "'", "s", "'s"] + ["".join(rnd.choices(parts, k=rnd.randint(1, 12))) for _ in range(3000)]
+    for at in (0, 5):  # a slice too
+        ids, ends = tok(pa.array(["zz"] * at + texts).slice(at))
+        got = [x.tolist() for x in np.split(ids, ends[:-1])]
+        assert got == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert tok(pa.array([], pa.string()))[1].tolist() == []
+
+
+def test_a_small_cache_changes_nothing(monkeypatch):
+    import pyarrow as pa
+
+    texts = pa.array([f"word{i % 97} " * 20 + "y" * 6000 for i in range(300)])
+    want = P.PieceTokenizer(P.tokenizer_path())(texts)[0].tolist()
+    monkeypatch.setattr(P, "CACHE", 2000)
+    tok = P.PieceTokenizer(P.tokenizer_path())
+    assert sum([tok(texts.slice(i, 10))[0].tolist() for i in range(0, 300, 10)], []) == want and len(tok.known.now) < 50
+
+
 def test_empty(spark):
     assert P.pack_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0

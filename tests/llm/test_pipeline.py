@@ -1,5 +1,8 @@
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
+
 import __spark_entry__
 import corpus_pipeline
 from test_near_dedup import brute as components
@@ -35,8 +38,8 @@ def test_stages(spark, sf_dir, tmp_path):
             for r in rows:
                 sums[r["doc_id"]] += r["length"]
                 bins[r["sequence_id"]] += r["length"]
-            tok = packing.ChunkTokenizer(packing.tokenizer_path())
-            assert dict(sums) == {d: len(ids) // 4 + 1 for d, ids in zip(before, tok(list(before.values())), strict=True)} and max(bins.values()) <= 4096
+            _, ends = packing.PieceTokenizer(packing.tokenizer_path())(pa.array(list(before.values()), pa.string()))
+            assert dict(sums) == {d: int(n) + 1 for d, n in zip(before, np.diff(ends, prepend=0), strict=True)} and max(bins.values()) <= 4096
     assert kept[0] < 0.4 * sum(q == 0 for q in labels.values()) and kept[1] <= kept[0]
 
 
