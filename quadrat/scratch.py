@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,11 +29,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/quadrat/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark deletes the shuffle files of a query when the query ends; for writes, whose rows are read from what they have written.
+TIDY = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, object]) -> Iterator[None]:
+    """Meanwhile the session has these settings."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, str(v))
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: this cuts the lineage, and a lost executor costs nothing of it."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    with settings(spark, TIDY):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_scratch(df: DataFrame) -> None:
