@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import AbstractContextManager
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrat.scratch import drop_scratch, materialize, release, scratch_path, shared_dir  # noqa: F401
+from quadrat.scratch import TIDY, drop_scratch, materialize, scratch_path, settings, shared_dir  # noqa: F401
 
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -48,3 +49,8 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: int, rows: int = 2000
             end = min(at + rows, max(at + 1, int(np.searchsorted(size, done + most, "right"))))
             yield b.slice(at, end - at)
             at = end
+
+
+def arrow_batches(spark: SparkSession, rows: int = 2000, most: int = 16 << 20) -> AbstractContextManager[None]:
+    """Meanwhile queries that are run send rows to Python in batches of so many rows and about so many bytes."""
+    return settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": most})

@@ -3,19 +3,20 @@
 1.  A text's set is its distinct word shingles, as 64-bit hashes.  Equal sets are one class at once; a
     class goes on with one representative, so copies never meet each other.
 2.  The sketch keeps the ``sketch`` least hashes.  The ``indexed`` least of them go to inverted lists.
-    Two sets of Jaccard similarity t miss each other in all lists with a chance of about
-    (1 - t) ** indexed: 1e-13 for 0.85 and 16 values.
+    Two sets of Jaccard similarity t share none of them with a chance of (1 - t) ** indexed at most:
+    1e-13 for 0.85 and 16 values, 1e-11 for 0.8.
 3.  A short list gives its pairs.  A long one gives only the pairs with its hub, the member with most
     company in its lists, which makes most of a group of near copies one component.
 4.  The bottom-k of the union of two sketches estimates the similarity; pairs that are clearly below
     the threshold (by six standard deviations) go.  The rest is confirmed on the full sets.
-5.  A document most of whose indexed values are in long lists may have partners that it met in long
-    lists only (a passage that many documents share is most of it, or it is in a group of near copies).
-    Where such a list still holds several components, these documents are compared with each other
-    list by list, in blocks: an inverted index of the full sets counts all intersections exactly, and
-    only edges that join two components leave the block, so a group of m copies gives m rows at most.
-    Any other document has so many values in short lists that the chance to share none of them with a
-    partner is 1e-6 at most, or none where the index holds the whole set.  Nothing is capped or dropped.
+5.  Two documents are compared at the latest when they share any indexed value: a document that has
+    more than a few values in long lists is *doubtful*, and doubtful documents are compared with each
+    other in every long list of theirs that still holds several components.  There an inverted index
+    of the full sets counts all intersections exactly, block by block; blocks are bounded in rows and
+    in bytes, and only edges that join two components leave them, so a group of m copies gives m rows
+    at most.  A document that is not doubtful has at most l long values (``most_long``), so a pair that
+    shares none but long ones shares at most l of the least ``indexed`` values of its union: a chance
+    of P(Bin(indexed, t) <= l), which is 1e-6 at most.  Nothing is capped or dropped.
 
 The links give connected components.  Sets of documents whose sketches met anything are computed from
 whole texts; no other text is moved.
@@ -28,38 +29,42 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrat.llm.common import drop_scratch, materialize, release, table
+from quadrat.llm.common import arrow_batches, byte_slices, drop_scratch, materialize, table
+from quadrat.llm.worker import state
 from quadrat.operators.graph import connected_components
 
-SKETCH, INDEXED, SHORT_LIST, MISS, BLOCK = 32, 16, 16, 1e-6, 1024
+SKETCH, INDEXED, SHORT_LIST, MISS = 32, 16, 16, 1e-6
+#: Rows, and bytes of full sets, of a block of a long list.
+BLOCK, BLOCK_BYTES = 4096, 4 << 20
+#: Bytes of words whose hashes a Python worker keeps.
+WORD_CACHE = 48 << 20
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD)
 
 
 class _Hashes(dict):
-    """Word to 64-bit hash; starts anew when it has grown large."""
+    """Word to 64-bit hash, for words of up to 100 bytes; starts anew when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 100:
+            if len(self) * 200 > WORD_CACHE:
+                self.clear()
+            self[word] = h
         return h
 
 
-_HASHES = _Hashes()
-
-
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """The sorted distinct hashes (63 bits, as signed numbers) of a text's shingles; empty without words."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
         return np.empty(0, np.int64)
-    w = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    w = np.fromiter(map(state("words", _Hashes).__getitem__, words), np.uint64, len(words))
     n = max(1, len(w) - width + 1)
     with np.errstate(over="ignore"):
         h = np.zeros(n, np.uint64)
@@ -73,19 +78,13 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique((h >> np.uint64(1)).astype(np.int64))
 
 
-def _slices(batches: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for at in range(0, b.num_rows, size):
-            yield b.slice(at, size)
-
-
 def sketches(docs: DataFrame, width: int, sketch: int = SKETCH) -> DataFrame:
     """(doc_id, text_key, n, set_key, sketch) of every row of (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for b in _slices(batches):
+        for b in byte_slices(batches, 2, 500):
             sets = [shingle_set(t, width) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([s[:sketch] for s in sets], pa.list_(pa.int64()))],
@@ -99,7 +98,7 @@ def _full_sets(texts: DataFrame, width: int) -> DataFrame:
     """(v, set) of (v, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _slices(batches):
+        for b in byte_slices(batches, 1, 500):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, width).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["v", "set"])
 
     return texts.select("v", "text").mapInArrow(run, "v long, set binary")
@@ -109,7 +108,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     """The pairs (a, b) with den * intersection >= num * union on the full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _slices(batches, 1024):
+        for b in byte_slices(batches, 2, 1024):
             keep = []
             for x, y in zip(b.column(2), b.column(3), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
@@ -122,31 +121,32 @@ def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def joining_edges(sets: list[np.ndarray], labels: np.ndarray, split: int, num: int, den: int) -> list[tuple[int, int]]:
+def joining_edges(flat: np.ndarray, sizes: np.ndarray, labels: np.ndarray, split: int, num: int, den: int) -> list[tuple[int, int]]:
     """Edges (i, j) of similar sets that join different labels until none is left to join.
 
-    With split = len(sets) all sets are compared; else those before split with those from it on.
+    flat has the elements of all sets, one set after another.  With split = len(sizes) all sets are
+    compared; else those before split with those from it on.  Two sets of the most frequent label need
+    no comparison, so only the others are looked up.
     """
-    sizes = np.array([len(s) for s in sets])
-    flat = np.concatenate(sets)
+    n = len(sizes)
     _, element, times = np.unique(flat, return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
     by_element = owner[np.argsort(element, kind="stable")]
     ends = np.cumsum(times)
     starts, at = ends - times, np.concatenate([[0], np.cumsum(sizes)])
-    labels = labels.copy()
-    one = split == len(sets)
+    found, first, counts = np.unique(labels, return_index=True, return_counts=True)
+    labels, most = labels.copy(), first[np.argmax(counts)]
     out = []
-    for i in range(split):
-        low = i + 1 if one else split
-        if low >= len(sets) or (labels[low:] == labels[i]).all():
+    for i in np.flatnonzero(labels != labels[most]).tolist():
+        there = slice(0, n) if split == n else slice(split, n) if i < split else slice(0, split)
+        if (labels[there] == labels[i]).all():
             continue
         own = element[at[i] : at[i + 1]]
         own = own[times[own] > 1]
         if not len(own):
             continue
-        both = np.bincount(np.concatenate([by_element[a:b] for a, b in zip(starts[own], ends[own], strict=True)]), minlength=len(sets))[low:]
-        near = np.flatnonzero((both > 0) & (den * both >= num * (sizes[i] + sizes[low:] - both)) & (labels[low:] != labels[i])) + low
+        both = np.bincount(np.concatenate([by_element[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist(), strict=True)]), minlength=n)[there]
+        near = np.flatnonzero((both > 0) & (den * both >= num * (sizes[i] + sizes[there] - both)) & (labels[there] != labels[i])) + there.start
         if len(near):
             found, first = np.unique(labels[near], return_index=True)
             out += [(i, int(j)) for j in near[first]]
@@ -154,35 +154,59 @@ def joining_edges(sets: list[np.ndarray], labels: np.ndarray, split: int, num: i
     return out
 
 
+def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all 8-byte numbers in a binary column without nulls, how many each row has)."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    return data.copy().view(np.int64), np.diff(ends) // 8
+
+
 def _search_lists(rows: DataFrame, num: int, den: int) -> DataFrame:
     """Edges (a, b) across components, from (value, x, y, side, v, component, set) sorted by the first three."""
 
-    def solve(left: list, right: list, one: bool) -> list[tuple[int, int]]:
-        every = left if one else left + right
-        if len({r[1] for r in every}) < 2 or not left or not (one or right):
-            return []
-        sets = [np.frombuffer(r[2], np.int64) for r in every]
-        edges = joining_edges(sets, np.array([r[1] for r in every], np.int64), len(left), num, den)
-        return [(every[i][0], every[j][0]) for i, j in edges]
+    def solve(key: tuple, parts: list[tuple]) -> pa.RecordBatch:
+        side, v, component, sizes, flat = (np.concatenate([p[k] for p in parts]) for k in range(5))
+        one, edges = key[1] == key[2], []
+        if len(np.unique(component)) > 1 and (one or len(np.unique(side)) == 2):
+            order = np.argsort(side, kind="stable")
+            if (order != np.arange(len(order))).any():
+                starts = np.cumsum(sizes) - sizes
+                flat = np.concatenate([flat[a : a + n] for a, n in zip(starts[order].tolist(), sizes[order].tolist(), strict=True)])
+                v, component, sizes = v[order], component[order], sizes[order]
+            split = len(side) if one else int((side == 0).sum())
+            edges = joining_edges(flat, sizes, component, split, num, den)
+        return pa.RecordBatch.from_arrays([pa.array([int(v[e[k]]) for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, left, right = None, [], []
-        names = ["a", "b"]
-        for batch in batches:
-            edges = []
-            for value, x, y, side, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if (value, x, y) != key:
+        key, parts = None, []
+        for b in byte_slices(batches, 6, BLOCK):
+            value, x, y, side, v, component = (b.column(k).to_numpy(zero_copy_only=False) for k in range(6))
+            flat, sizes = _numbers(b.column(6))
+            at = np.concatenate([[0], np.cumsum(sizes)])
+            new = np.flatnonzero((value[1:] != value[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1
+            for lo, hi in zip([0, *new.tolist()], [*new.tolist(), len(v)], strict=True):
+                own = (int(value[lo]), int(x[lo]), int(y[lo]))
+                if own != key:
                     if key:
-                        edges += solve(left, right, key[1] == key[2])
-                    key, left, right = (value, x, y), [], []
-                (right if side else left).append(row)
-            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=names)
-        edges = solve(left, right, key[1] == key[2]) if key else []
-        yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=names)
+                        yield solve(key, parts)
+                    key, parts = own, []
+                parts.append((side[lo:hi], v[lo:hi], component[lo:hi], sizes[lo:hi], flat[at[lo] : at[hi]]))
+        if key:
+            yield solve(key, parts)
 
     return rows.select("value", "x", "y", "side", "v", "component", "set").mapInArrow(run, "a long, b long")
 
 
+def most_long(t: float, indexed: int, miss: float = MISS) -> int:
+    """The largest l with P(Bin(indexed, t) <= l) <= miss; -1 if there is none."""
+    chance = 0.0
+    for k in range(indexed + 1):
+        chance += math.comb(indexed, k) * t**k * (1 - t) ** (indexed - k)
+        if chance > miss:
+            return k - 1
+    return indexed
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", sketch: int = SKETCH, indexed: int = INDEXED, short_list: int = SHORT_LIST) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; documents are linked if den * intersection >= num * union.
 
@@ -190,7 +214,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     Repeated rows are in one component; a null id takes part in links but never names a component that
     has an id in it, and is kept only where its component has no id.  Other columns are not looked at.
     """
-    t = num / den
+    with arrow_batches(docs.sparkSession):
+        return _near_duplicates(docs, width, num, den, id_col, text_col, sketch, indexed, short_list)
+
+
+def _near_duplicates(docs: DataFrame, width: int, num: int, den: int, id_col: str, text_col: str, sketch: int, indexed: int, short_list: int) -> DataFrame:
+    t, scratch = num / den, []
+
+    def table_of(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(materialize(df, name))
+        return scratch[-1]
+
     text = F.col(f"`{text_col}`")
     texts_of = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"), text.alias("text"))
     rows = materialize(sketches(texts_of, width, sketch), "sketches")
@@ -200,13 +234,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     # inverted lists of the retained values
     entries = reps.select("v", F.explode(F.slice("sketch", 1, indexed)).alias("value"))
     lists = entries.groupBy("value").agg(F.count("*").alias("size")).where("size > 1")
-    tagged = materialize(entries.join(materialize(lists, "lists"), "value"), "tagged")
+    tagged = table_of(entries.join(table_of(lists, "lists"), "value"), "tagged")
     long_lists = tagged.where(F.col("size") > short_list)
-    in_long = materialize(long_lists.groupBy("v").agg(F.count("*").alias("long"), F.sum("size").alias("company")), "in-long")
+    in_long = table_of(long_lists.groupBy("v").agg(F.count("*").alias("long"), F.sum("size").alias("company")), "in-long")
     hubs = long_lists.join(in_long, "v").groupBy("value").agg(F.max(F.struct("company", "v"))["v"].alias("hub"))
     members = tagged.where(F.col("size") <= short_list).groupBy("value").agg(F.collect_list("v").alias("m"))
     short = members.select("m", F.explode("m").alias("a")).select("a", F.explode(F.filter("m", lambda x: x > F.col("a"))).alias("b"))
-    stars = long_lists.join(materialize(hubs, "hubs"), "value").where("v != hub").select(F.least("v", "hub").alias("a"), F.greatest("v", "hub").alias("b"))
+    stars = long_lists.join(table_of(hubs, "hubs"), "value").where("v != hub").select(F.least("v", "hub").alias("a"), F.greatest("v", "hub").alias("b"))
     met = short.union(stars).distinct()
 
     # the estimate from the union of two sketches
@@ -215,38 +249,36 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     shared = F.size(F.array_intersect(union, F.array_intersect("s_a", "s_b")))
     least = max(0.0, t - 6 * math.sqrt(t * (1 - t) / sketch))
     likely = met.join(side("a"), "a").join(side("b"), "b").where((den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")) & (shared >= least * F.size(union)))
-    pairs = materialize(likely.select("a", "b"), "pairs")
+    pairs = table_of(likely.select("a", "b"), "pairs")
 
     # full sets of whatever may have to be confirmed
-    enough = math.ceil(math.log(MISS) / math.log(1 - t))
-    unsure = F.when(F.col("n") <= indexed, den * F.col("long") >= num * F.col("n")).otherwise(indexed - F.col("long") < enough)
-    doubtful = materialize(in_long.join(reps.select("v", "n"), "v").where(unsure).select("v"), "doubtful")
-    needed = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).union(doubtful).distinct()
+    # a set that is indexed whole may share more with a partner than the partner has indexed
+    beyond = F.greatest(F.lit(0), F.floor(den * F.col("n") / num) - indexed)
+    unsure = F.when(F.col("n") <= indexed, den * (F.col("long") + beyond) >= num * F.col("n")).otherwise(F.col("long") > most_long(t, indexed))
+    doubtful = table_of(in_long.join(reps.select("v", "n"), "v").where(unsure).select("v", "n"), "doubtful")
+    needed = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).union(doubtful.select("v")).distinct()
     wanted = needed.join(reps.select("v", "doc_id", "text_key"), "v").select("v", F.coalesce("doc_id", F.lit(-1)).alias("_d"), F.col("doc_id").isNull().alias("_null"), "text_key")
     keyed = texts_of.select(F.coalesce("doc_id", F.lit(-1)).alias("_d"), F.col("doc_id").isNull().alias("_null"), "text_key", "text")
     texts = keyed.join(wanted, ["_d", "_null", "text_key"]).select("v", "text")
-    sets = materialize(_full_sets(texts, width), "sets")
-    release(docs.sparkSession)
+    sets = table_of(_full_sets(texts, width).dropDuplicates(["v"]), "sets")  # a repeated row brings its set again
 
-    links = materialize(_confirm(pairs, sets, num, den), "links")
-    comps = connected_components(links)
+    links = table_of(_confirm(pairs, sets, num, den), "links")
+    comps = table_of(connected_components(links), "found")
 
     # long lists with several components: an exact search across components
-    release(docs.sparkSession)
-    first_long = F.row_number().over(Window.partitionBy("v").orderBy("value"))
-    own = long_lists.join(doubtful, "v", "left_semi").select("value", "v", first_long.alias("k")).where(F.col("k") <= enough).select("value", "v")
-    own = materialize(own.join(comps, F.col("v") == F.col("vertex"), "left").select("value", "v", F.coalesce("component", "v").alias("component")), "long-lists")
-    mixed = own.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("lo != hi").select("value", "blocks")
+    own = long_lists.join(doubtful, "v").select("value", "v", "n")
+    own = table_of(own.join(comps, F.col("v") == F.col("vertex"), "left").select("value", "v", "n", F.coalesce("component", "v").alias("component")), "long-lists")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(8 * F.sum("n") / BLOCK_BYTES)).cast("int")
+    mixed = own.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), blocks.alias("blocks")).where("lo != hi").select("value", "blocks")
     dealt = own.join(mixed, "value").withColumn("blk", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
     # a document goes to each pair of its block with another, and to its block alone
     dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"x": F.least("blk", "o"), "y": F.greatest("blk", "o"), "side": (F.col("blk") > F.col("o")).cast("int")})
     parts = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = dealt.join(sets, "v").repartition(parts, "value", "x", "y").sortWithinPartitions("value", "x", "y")
-    more = materialize(_search_lists(dealt, num, den), "more-links")
+    more = table_of(_search_lists(dealt, num, den), "more-links")
     comps = materialize(connected_components(links.union(more)), "components")
-    release(docs.sparkSession)
-    for done in (tagged, sets, pairs, own):
+    for done in scratch:
         drop_scratch(done)
 
     named = reps.select("v", "set_key", "doc_id").join(comps, F.col("v") == F.col("vertex"), "left").select("set_key", "doc_id", F.coalesce("component", "v").alias("c"))
@@ -258,11 +290,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
 
 
 def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """docs with one row of each component, that of the least doc_id; of rows that repeat an id in it, one."""
-    ids = near_duplicates(docs, width, num, den).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    some = keyed.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return some.dropDuplicates(["doc_id", "_key"]).drop("_key")
+    """docs with one row of each component, that of the least doc_id; of rows that repeat an id and a text, one.
+
+    All columns stay, whatever their names.  Null, empty and blank texts are components of their own.
+    """
+    ids = near_duplicates(docs, width, num, den).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
+    some = rows.join(ids, F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return some.dropDuplicates(["id", "key"]).select("row.*")
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,6 +70,7 @@ def test_equals_brute_force(spark, seed, monkeypatch):
     rows = corpus(seed) + [(900, None), (901, ""), (902, " \n"), (903, "a"), (904, "A"), (905, "a b"), (906, "b a"), (907, "É x y"), (908, "é x y"), (7, "a b"), (None, "a b"), (None, None), (903, "a")]
     assert run(spark, rows) == brute(rows, 3, 85, 100)
     monkeypatch.setattr(N, "BLOCK", 9)
+    monkeypatch.setattr(N, "BLOCK_BYTES", 9 << 10)
     assert run(spark, rows, short_list=3) == brute(rows, 3, 85, 100)  # all but the shortest lists go the exact way
 
 
@@ -94,7 +95,7 @@ def test_joining_edges(seed):
     near = lambda i, j: 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))
     for split in (25, 10):
         every = [(i, j) for i in range(split) for j in range(i + 1 if split == 25 else split, 25) if near(i, j)]
-        got = N.joining_edges(sets, labels, split, 75, 100)
+        got = N.joining_edges(np.concatenate(sets), np.array([len(x) for x in sets]), labels, split, 75, 100)
         assert all(near(i, j) for i, j in got) and groups(got) == groups(every) and len(got) == len(set(labels)) - groups(every)[0]
 
 
@@ -106,11 +107,29 @@ def test_empty_table_and_copies(spark):
 
 def test_keep_one(spark):
     rows = [(2, "a b c d e f", 1), (1, "a b c d e f", 2), (1, "a b c d e f", 2), (3, None, 3), (4, "", 4)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, n long")
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long").selectExpr("*", "n AS _key", "n AS _id", "n AS `row`", "n AS id", "n AS key")
     out = N.keep_one(df)
     assert out.columns == df.columns and sorted(r["doc_id"] for r in out.collect()) == [1, 3, 4]
 
 
+def test_the_chance_of_a_miss():
+    from math import comb
+
+    for t in (0.8, 0.85):
+        l = N.most_long(t, 16)  # noqa: E741
+        tail = lambda k, t=t: sum(comb(16, i) * t**i * (1 - t) ** (16 - i) for i in range(k + 1))
+        assert tail(l) <= 1e-6 < tail(l + 1)
+
+
+def test_a_pair_of_hot_passages(spark):
+    """Documents that are a hot passage and little else, and one that is the passage alone."""
+    rnd = random.Random(9)
+    passage = [f"p{i}" for i in range(170)]
+    rows = [(i, " ".join([f"u{i}-{k}" for k in range(rnd.choice([10, 29, 30, 31, 60, 200]))] + passage)) for i in range(60)] + [(99, " ".join(passage)), (98, " ".join(passage[:60]))]
+    for short_list in (16, 4):
+        assert run(spark, rows, 3, 85, 100, short_list=short_list) == brute(rows, 3, 85, 100)
+
+
 def test_query(spark, sf_dir):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert sorted((tuple(r) for r in N.op2_minhash_near_dedup(spark, sf_dir).collect()), key=str) == brute(rows, 3, 85, 100)
