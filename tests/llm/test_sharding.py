@@ -48,10 +48,27 @@ def test_odd_rows(spark, tmp_path):
     s = store(spark, tmp_path)
     s.append(spark.createDataFrame([], "doc_id long, text string"), F.lit(1))
     assert s.manifest().count() == 0
+    assert s.read().count() == 0 and s.read().select("row.*").columns == ["doc_id", "text"] and s.compact() == 1
     s.append(spark.createDataFrame([(None, None), (1, ""), (1, ""), (2, "y" * 5000), (None, "a")], "doc_id long, text string"), F.col("doc_id"))
     assert s.read().count() == 5 and s.compact() >= 2 and s.read().count() == 5
 
 
+def test_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    out = S.op1_size_tiered_shards(spark, f"file://{tmp_path}")
+    assert out.count() == 0 and out.columns == ["doc_id", "arrival", "part", "n_bytes", "shard"]
+
+
+def test_one_large_arrival(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "PARTS", 4)
+    s = store(spark, tmp_path, small=50, target=150)
+    s.append(docs(spark, 300), F.lit(7))
+    n = s.manifest().count()
+    s.compact()
+    assert n > 100 and s.manifest().count() < n and s.read().count() == 300
+    assert s.manifest().agg(F.max("n_bytes")).first()[0] < 1000
+
+
 def test_equals_sql(spark, sf_dir, monkeypatch):
     for small, target in ((S.SMALL, S.TARGET), (20_000, 300_000)):
         for k, v in (("SMALL", small), ("TARGET", target)):
