@@ -64,8 +64,3 @@ def drop_scratch(df: DataFrame) -> None:
         if "/quadrat/" in path:
             hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
             hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
-def release(spark: SparkSession) -> None:
-    """Let the driver's JVM collect garbage: shuffle files of finished jobs, which it still knows of, can then go from the executors' disks."""
-    spark._jvm.System.gc()
