@@ -6,10 +6,13 @@ position; a recursive query joins neighbours with the merge table, contracts the
 minimum rank of every word, and goes on until no word changes.  Decoding joins the ids with the
 vocabulary and aggregates the bytes in the order of positions.
 
-A Python worker keeps what its words came to, in two generations of bounded size, so a word is
-queried once while it is in use.  What a recursive query gathers grows with the square of a word's
-length, so words above ``MAX_RECURSIVE`` bytes (there are hardly any) are contracted by the same rule
-with a heap instead.  Rows of the table don't depend on each other: nothing is shuffled.
+What the recursion gathers grows with the steps of a query, so a query takes ``STEPS`` of them at most;
+words that have not come to their end go on from there in the next query, and a query takes as many
+words as its rows have room for.  A Python worker keeps what its words came to, in two generations of
+bounded size, so a word is queried once while it is in use.  Steps times length is still the square of
+a word's length, so a word above ``MAX_RECURSIVE`` bytes (the README says how many there are) is
+contracted by the same rule with a heap instead.  Rows of the table don't depend on each other: nothing
+is shuffled.
 """
 
 from __future__ import annotations
@@ -24,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrat.llm.common import table
+from quadrat.llm.common import byte_slices, table
+from quadrat.llm.worker import Generations, state
 
-#: Words in each of the two generations that a worker keeps; words that one query takes, in bytes.
-MAX_WORDS, MAX_QUERY_BYTES = 500_000, 1_000_000
-MAX_RECURSIVE = 256
+#: Bytes of words and their ids that a worker keeps; steps of a query, and rows that it may gather.
+CACHE, STEPS, MAX_QUERY_ROWS = 120 << 20, 48, 3_000_000
+MAX_RECURSIVE = 4096
 
 _ENCODE = """
 WITH RECURSIVE t(w, pos, tok, npos, nxt, step) AS (
@@ -36,7 +40,7 @@ WITH RECURSIVE t(w, pos, tok, npos, nxt, step) AS (
   UNION ALL (
     WITH j AS (
       SELECT t.w, t.pos, t.npos, m.id::BIGINT << 32 | t.pos AS worth
-      FROM t JOIN merges m ON m.pair = (t.tok::BIGINT << 32 | t.nxt)
+      FROM t JOIN merges m ON m.pair = (t.tok::BIGINT << 32 | t.nxt) WHERE t.step < $1
     ), b AS (
       SELECT w, min(worth) AS best, arg_min(npos, worth) AS gone FROM j GROUP BY w
     ), g AS (
@@ -53,7 +57,7 @@ WITH RECURSIVE t(w, pos, tok, npos, nxt, step) AS (
 ), last AS (
   SELECT w, max(step) AS step FROM t GROUP BY w
 )
-SELECT t.w, count(*) AS n, string_agg(t.tok, ',' ORDER BY t.pos) AS ids, string_agg(v.hex, '' ORDER BY t.pos) AS decoded
+SELECT t.w, any_value(t.step) AS step, count(*) AS n, string_agg(t.tok, ',' ORDER BY t.pos) AS ids, string_agg(v.hex, '' ORDER BY t.pos) AS decoded
 FROM t JOIN last USING (w, step) JOIN vocabulary v ON v.id = t.tok
 GROUP BY t.w ORDER BY t.w
 """
@@ -79,29 +83,36 @@ class Codec:
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = [(ranks[t[:k]] << 32 | ranks[t[k:]], i) for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         self.made, self.spelled = dict(pairs), {i: t for t, i in ranks.items()}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})  # it works in memory only
         made = pa.table({"pair": [p for p, _ in pairs], "id": pa.array([i for _, i in pairs], pa.int32())})
         known = pa.table({"id": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]})
         for name, rows in (("merges", made), ("vocabulary", known)):
             self.db.register("_rows", rows)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM _rows")
             self.db.unregister("_rows")
-        #: word to (ids with commas, number of ids, decoded bytes), lately used and older
-        self.now: dict[str, tuple[bytes, int, bytes]] = {}
-        self.old: dict[str, tuple[bytes, int, bytes]] = {}
+        #: word to (ids with commas, number of ids, decoded bytes)
+        self.known = Generations(CACHE, lambda v: len(v[0]) + len(v[2]) + 150)
+
+    def _put(self, word: str, n: int, ids: str, decoded: bytes) -> None:
+        self.known.put(word, (ids.encode(), n, decoded))
 
     def _query(self, words: list[str]) -> None:
-        raw = [w.encode() for w in words]
-        sizes = np.array([len(r) for r in raw])
-        ends = np.cumsum(sizes)
-        flat = np.frombuffer(b"".join(raw), np.uint8)
-        start = pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "pos": (np.arange(len(flat)) - np.repeat(ends - sizes, sizes)).astype(np.int32), "tok": self.bytes[flat]})
-        self.db.register("start", start)
-        for w, n, ids, decoded in self.db.execute(_ENCODE).fetchall():
-            self.now[words[w]] = (ids.encode(), n, bytes.fromhex(decoded))
-        self.db.unregister("start")
-
-    def _contract(self, word: str) -> tuple[bytes, int, bytes]:
+        left = {i: self.bytes[np.frombuffer(w.encode(), np.uint8)] for i, w in enumerate(words)}
+        while left:
+            sizes = np.array([len(t) for t in left.values()])
+            ends = np.cumsum(sizes)
+            start = {"w": np.repeat(np.fromiter(left, np.int32, len(left)), sizes), "pos": (np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)).astype(np.int32), "tok": np.concatenate(list(left.values()))}
+            self.db.register("start", pa.table(start))
+            got = self.db.execute(_ENCODE, [STEPS]).fetchall()
+            self.db.unregister("start")
+            left = {}
+            for w, step, n, ids, decoded in got:
+                if step < STEPS:
+                    self._put(words[w], n, ids, bytes.fromhex(decoded))
+                else:
+                    left[w] = np.array(ids.split(","), np.int32)
+
+    def _contract(self, word: str) -> None:
         """The same by a heap of (rank, position) over linked tokens."""
         tok = self.bytes[np.frombuffer(word.encode(), np.uint8)].tolist()
         after, before = [*range(1, len(tok)), -1], list(range(-1, len(tok) - 1))
@@ -126,25 +137,21 @@ class Codec:
                 offer(before[i])
             offer(i)
         ids = [t for t in tok if t >= 0]
-        return ",".join(map(str, ids)).encode(), len(ids), b"".join([self.spelled[t] for t in ids])
+        self._put(word, len(ids), ",".join(map(str, ids)), b"".join([self.spelled[t] for t in ids]))
 
     def learn(self, words: set[str]) -> None:
-        """Have all words in self.now."""
-        if len(self.now) > MAX_WORDS:
-            self.now, self.old = {}, self.now
-        fresh, size = [], 0
-        for w in words.difference(self.now):
-            if w in self.old:
-                self.now[w] = self.old[w]
-                continue
-            if len(w.encode()) > MAX_RECURSIVE:
-                self.now[w] = self._contract(w)
+        """Have all words in self.known.now."""
+        fresh, rows = [], 0
+        for w in self.known.absent(words):
+            size = len(w.encode())
+            if size > MAX_RECURSIVE:
+                self._contract(w)
                 continue
             fresh.append(w)
-            size += len(w)
-            if size > MAX_QUERY_BYTES:
+            rows += size * min(size, STEPS)
+            if rows > MAX_QUERY_ROWS:
                 self._query(fresh)
-                fresh, size = [], 0
+                fresh, rows = [], 0
         if fresh:
             self._query(fresh)
 
@@ -152,15 +159,12 @@ class Codec:
         """(number of ids, ids with commas, bytes decoded from the ids) of each text; a null text is empty."""
         split = [self.split(t or "") for t in texts]
         self.learn(set().union(*split))
-        now = self.now
+        now = self.known.now
         for words in split:
             got = [now[w] for w in words]
             yield sum([g[1] for g in got]), b",".join([g[0] for g in got]), b"".join([g[2] for g in got])
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, keep_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, and with keep_ids also ids and decoded) of every row.
 
@@ -170,25 +174,22 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = path or vocabulary_path()
-        if own not in _CODECS:
-            _CODECS[own] = Codec(own)
-        codec = _CODECS[own]
-        for big in batches:
-            for b in (big.slice(i, 1000) for i in range(0, big.num_rows, 1000)):
-                n, ids_hex, decoded_hex, ids, decoded = [], [], [], [], []
-                for count, joined, back in codec.encode(b.column(1).to_pylist()):
-                    n.append(count)
-                    ids_hex.append(hashlib.sha256(joined).hexdigest())
-                    decoded_hex.append(hashlib.sha256(back).hexdigest())
-                    if keep_ids:
-                        ids.append([int(x) for x in joined.split(b",")] if joined else [])
-                        decoded.append(back.decode())
-                cols = [b.column(0), pa.array(n, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(decoded_hex, pa.string())]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        codec = state(("codec", own), lambda: Codec(own))
+        for b in byte_slices(batches, 1, 1000):
+            n, ids_hex, decoded_hex, ids, decoded = [], [], [], [], []
+            for count, joined, back in codec.encode(b.column(1).to_pylist()):
+                n.append(count)
+                ids_hex.append(hashlib.sha256(joined).hexdigest())
+                decoded_hex.append(hashlib.sha256(back).hexdigest())
                 if keep_ids:
-                    cols += [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
-                    names += ["ids", "decoded"]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+                    ids.append([int(x) for x in joined.split(b",")] if joined else [])
+                    decoded.append(back.decode())
+            cols = [b.column(0), pa.array(n, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(decoded_hex, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if keep_ids:
+                cols += [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                names += ["ids", "decoded"]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, kind).withColumnRenamed("doc_id", id_col)

@@ -17,10 +17,20 @@ def state(key: Any, make: Callable[[], Any]) -> Any:
 
 
 def drop_state() -> None:
+    _STATE.clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Give memory that is free to the system: workers are used again, beside others."""
+    import ctypes
+
     import pyarrow as pa
 
-    _STATE.clear()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # there in glibc
+    if trim:
+        trim(0)
 
 
 class Generations:
@@ -33,8 +43,8 @@ class Generations:
     #: What an entry takes beside its key and its value.
     OVERHEAD = 200
 
-    def __init__(self, most_bytes: int, most_entry: int = 4096) -> None:
-        self.most, self.most_entry = most_bytes // 2, most_entry
+    def __init__(self, most_bytes: int, size_of: Callable[[Any], int] = len, most_entry: int = 4096) -> None:
+        self.most, self.size_of, self.most_entry = most_bytes // 2, size_of, most_entry
         self.now: dict = {}
         self.old: dict = {}
         self.large: list = []
@@ -52,15 +62,14 @@ class Generations:
         for k in keys.difference(now):
             if k in old:
                 v = now[k] = old[k]
-                self.size += len(k) + len(v) + self.OVERHEAD
+                self.size += len(k) + self.size_of(v) + self.OVERHEAD
             else:
                 out.append(k)
         return out
 
     def put(self, key: Any, value: Any) -> None:
-        """Both have a length, in bytes or so."""
         self.now[key] = value
-        size = len(key) + len(value) + self.OVERHEAD
+        size = len(key) + self.size_of(value) + self.OVERHEAD
         if size > self.most_entry:
             self.large.append(key)
         else:

@@ -29,16 +29,26 @@ def test_equals_the_library(spark, sf_dir):
 
 
 def test_ids_and_small_caches(spark, monkeypatch):
-    enc, codec = reference(), B.Codec(B.vocabulary_path())
-    monkeypatch.setattr(B, "MAX_WORDS", 3)
-    monkeypatch.setattr(B, "MAX_QUERY_BYTES", 5)
-    for _ in range(3):
-        monkeypatch.setattr(B, "MAX_RECURSIVE", 4 if _ else 256)
-        for t, (n, ids, back) in zip(TEXTS[:7], codec.encode(TEXTS[:7])):
-            assert ids.decode() == ",".join(map(str, enc.encode_ordinary(t or ""))) and back == (t or "").encode()
+    enc = reference()
+    for cache, rows, steps, recursive in ((1, 5, 48, 4096), (1 << 20, 3_000_000, 3, 4096), (1000, 100, 1, 300), (1, 5, 48, 4)):
+        for k, v in (("CACHE", cache), ("MAX_QUERY_ROWS", rows), ("STEPS", steps), ("MAX_RECURSIVE", recursive)):
+            monkeypatch.setattr(B, k, v)
+        codec = B.Codec(B.vocabulary_path())
+        for some in (TEXTS[:8], TEXTS[10:11], TEXTS[:8]):
+            for t, (n, ids, back) in zip(some, codec.encode(some), strict=True):
+                assert ids.decode() == ",".join(map(str, enc.encode_ordinary(t or ""))) and back == (t or "").encode() and n == len(enc.encode_ordinary(t or ""))
     got = B.encode_texts(spark.createDataFrame([(1, "two words")], "doc_id long, text string"), keep_ids=True).first()
     assert got["ids"] == enc.encode_ordinary("two words") and got["decoded"] == "two words"
 
 
+def test_long_words_go_through_the_query(monkeypatch):
+    """No result changes at the old limit of 256 bytes, nor up to MAX_RECURSIVE."""
+    enc, codec = reference(), B.Codec(B.vocabulary_path())
+    monkeypatch.setattr(codec, "_contract", None)
+    words = ["therand" * 40, "z" * 255, "z" * 256, "z" * 257, "ertionthé" * 100, "qx7" * 400]
+    for t, (_, ids, _) in zip(words, codec.encode(words), strict=True):
+        assert ids.decode() == ",".join(map(str, enc.encode_ordinary(t)))
+
+
 def test_empty(spark):
     assert B.encode_texts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
