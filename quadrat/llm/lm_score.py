@@ -32,20 +32,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrat.llm.common import crc_bucket, drop_scratch, materialize, table
+from quadrat.llm.common import arrow_batches, byte_slices, crc_bucket, drop_scratch, materialize, table
+from quadrat.llm.worker import give_back
 
 HEAD, HEAD_BYTES = 100_000, 64
 ORDERS = 5
 #: Training bytes that ask for a shard, text bytes of a chunk that is scored together, and windows in a row of a table.
-SHARD_BYTES, CHUNK_BYTES, CUT = 16 << 20, 16 << 20, 20_000
-#: log2 of the slots of each order in Tables.
-SLOTS = (16, 17, 18, 18, 18)
+SHARD_BYTES, CHUNK_BYTES, CUT = 8 << 20, 8 << 20, 20_000
+#: Distinct windows, and distinct words, that a task holds before it hands on what it has counted.
+HELD_WINDOWS, HELD_WORDS = 1_500_000, 500_000
+#: Slots of order 1: a byte, and the bits so far of the next.
+FIRST = 1 << 16
 GATES, CELLS = 8 * 4 * 4, 33
-COST_BITS = 21
+COST_BITS = 19
 END = b"\n"  # stands for the end token: no word holds a line feed
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
-_OFFSETS = np.cumsum([0] + [1 << s for s in SLOTS]).tolist()
 
 
 def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,22 +85,6 @@ def merge_counts(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarr
     return w[first], (np.add.reduceat(n, first) if len(first) else n)
 
 
-def slots(w: np.ndarray, bit: int) -> list[np.ndarray]:
-    """The slot of each order for a bit (0: the highest) of the windows' last byte."""
-    byte = w & np.uint64(255)
-    node = np.uint64(1 << bit) | byte >> np.uint64(8 - bit)
-    out = []
-    with np.errstate(over="ignore"):
-        for k in range(1, ORDERS + 1):
-            context = w >> np.uint64(8) & np.uint64((1 << 8 * k) - 1)
-            if k == 1:
-                out.append((context << np.uint64(8) | node).astype(np.int64))
-                continue
-            h = (context * _MIX[0] + node * _MIX[k - 1]) * _MIX[1]
-            out.append((h >> np.uint64(64 - SLOTS[k - 1])).astype(np.int64) + _OFFSETS[k - 1])
-    return out
-
-
 def first_slot(w: np.ndarray, bit: int) -> np.ndarray:
     """The slot of order 1."""
     byte = w & np.uint64(255)
@@ -139,10 +125,10 @@ class Contexts:
     """What has been counted after each context of a shard: counts of (context, byte), sorted by them and added up from below."""
 
     def __init__(self, first: tuple[np.ndarray, np.ndarray], w: np.ndarray, n: np.ndarray) -> None:
-        """Of distinct windows and their counts; first has zeros and ones of the slots of order 1."""
+        """Of distinct sorted windows and their counts; first has zeros and ones of the slots of order 1."""
         self.first, self.keys, self.below = first, [], []
         for k in range(2, ORDERS + 1):
-            key, c = merge_counts((w & self._mask(k), n), counted_windows([]))
+            key, c = (w, n) if k == ORDERS else merge_counts((w & self._mask(k), n), counted_windows([]))
             self.keys.append(key)
             self.below.append(np.concatenate([[0], np.cumsum(c)]))
 
@@ -177,29 +163,6 @@ class Contexts:
             yield x, (bit * 4 + np.digitize(seen[4], [1, 8, 128])) * 4 + np.digitize(seen[2], [1, 8, 128])
 
 
-class Tables:
-    """What the slots have counted, as stretched probabilities and classes of confidence."""
-
-    def __init__(self, slot: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> None:
-        n0, n1 = np.zeros(_OFFSETS[-1]), np.zeros(_OFFSETS[-1])
-        n0[slot], n1[slot] = zeros, ones
-        self.stretched = np.log((n1 + 0.05) / (n0 + 0.05)).clip(-12, 12).astype(np.float32)
-        self.confidence = np.digitize(n0 + n1, [1, 8, 128]).astype(np.uint8)
-
-    def inputs(self, w: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
-        """(a row of inputs for each window, its gate)."""
-        at = slots(w, bit)
-        x = np.empty((len(w), ORDERS + 1), np.float32)
-        for k, a in enumerate(at):
-            x[:, k] = self.stretched[a]
-        x[:, ORDERS] = 0.3
-        gate = (bit * 4 + self.confidence[at[4]].astype(np.int64)) * 4 + self.confidence[at[2]]
-        return x, gate
-
-    def each(self, w: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        return (self.inputs(w, bit) for bit in range(8))
-
-
 class Mixer:
     """Gated weights and the table that refines the mix."""
 
@@ -236,23 +199,36 @@ class Mixer:
 
 
 class Costs:
-    """log10 of the probability of bytes, kept by their windows."""
+    """log10 of the probability of the last byte of windows."""
 
-    def __init__(self, tables: Tables | Contexts | None, mixer: Mixer | None) -> None:
-        self.tables, self.mixer = tables, mixer
-        self.keys = np.full(1 << COST_BITS, np.uint64(2**64 - 1))
-        self.costs = np.zeros(1 << COST_BITS, np.float32)
+    def __init__(self, contexts: Contexts, mixer: Mixer) -> None:
+        self.contexts, self.mixer = contexts, mixer
 
     def compute(self, w: np.ndarray) -> np.ndarray:
         out = np.zeros(len(w))
         for at in range(0, len(w), 65536):
             part = w[at : at + 65536]
-            for bit, (x, gate) in enumerate(self.tables.each(part)):
+            for bit, (x, gate) in enumerate(self.contexts.each(part)):
                 p = self.mixer.probability(x, gate, bit)
                 one = (part >> np.uint64(7 - bit) & np.uint64(1)).astype(bool)
                 out[at : at + 65536] += np.log10(np.where(one, p, 1 - p))
         return out
 
+
+class Known:
+    """Costs that are known for every window that is asked for; what was asked for lately is found by its hash."""
+
+    def __init__(self, w: np.ndarray, costs: np.ndarray) -> None:
+        order = np.argsort(w)
+        self.known, self.found = w[order], costs[order]
+        self.keys = np.full(1 << COST_BITS, np.uint64(2**64 - 1))
+        self.costs = np.zeros(1 << COST_BITS, np.float32)
+
+    def _lookup(self, w: np.ndarray) -> np.ndarray:
+        """NaN for windows across the end of a text, which nobody asks for."""
+        at = np.searchsorted(self.known, w).clip(max=max(len(self.known) - 1, 0))
+        return np.where(self.known[at] == w, self.found[at], np.nan) if len(self.known) else np.full(len(w), np.nan)
+
     def texts(self, texts: list[bytes]) -> np.ndarray:
         """log10 of the probability of each text."""
         w, starts, ends = windows(texts)
@@ -264,7 +240,7 @@ class Costs:
         miss = np.flatnonzero(self.keys[at] != w)
         if len(miss):
             new, back = np.unique(w[miss], return_inverse=True)
-            made = self.compute(new).astype(np.float32)  # as kept, so that a score does not depend on what came before
+            made = self._lookup(new).astype(np.float32)  # as kept, so that a score does not depend on what came before
             cost[miss] = made[back]
             with np.errstate(over="ignore"):
                 at = ((new * _MIX[2]) >> np.uint64(64 - COST_BITS)).astype(np.int64)
@@ -272,30 +248,10 @@ class Costs:
         return np.array([cost[a:b].sum() for a, b in zip(starts, ends, strict=True)])
 
 
-class Known(Costs):
-    """Costs that are known for every window that is asked for."""
-
-    def __init__(self, w: np.ndarray, costs: np.ndarray) -> None:
-        super().__init__(None, None)
-        order = np.argsort(w)
-        self.known, self.found = w[order], costs[order]
-
-    def compute(self, w: np.ndarray) -> np.ndarray:
-        """NaN for windows across the end of a text, which nobody asks for."""
-        at = np.searchsorted(self.known, w).clip(max=max(len(self.known) - 1, 0))
-        return np.where(self.known[at] == w, self.found[at], np.nan) if len(self.known) else np.full(len(w), np.nan)
-
-
 def _texts(batch: pa.RecordBatch, column: int) -> list[bytes]:
     return [(t or "").encode() for t in batch.column(column).to_pylist()]
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
-
-
 def _count(texts: DataFrame, shards: int) -> DataFrame:
     """(word, n), (slot, n, ones) of order 1 and (shard, windows, counts) of a table of training texts, as rows of one table; added up within a partition only."""
     fields = [("word", pa.binary()), ("slot", pa.int32()), ("n", pa.int64()), ("ones", pa.int64()), ("shard", pa.int32()), ("windows", pa.binary()), ("counts", pa.binary())]
@@ -308,7 +264,7 @@ def _count(texts: DataFrame, shards: int) -> DataFrame:
             yield batch(len(words), word=list(words), n=list(words.values()))
         w, n = bits
         if len(w):
-            zeros, ones = np.zeros(_OFFSETS[1], np.int64), np.zeros(_OFFSETS[1], np.int64)
+            zeros, ones = np.zeros(FIRST, np.int64), np.zeros(FIRST, np.int64)
             for bit in range(8):
                 one = (w >> np.uint64(7 - bit) & np.uint64(1)).astype(bool)
                 at = first_slot(w, bit)
@@ -321,16 +277,18 @@ def _count(texts: DataFrame, shards: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, bits = Counter(), counted_windows([])
-        for b in _slices(batches):
+        for b in byte_slices(batches, 0, 1000, 1 << 20):
             texts = _texts(b, 0)
             for t in texts:
                 words.update(t.translate(_LOWER).split())
             words[END] += len(texts)
             bits = merge_counts(bits, counted_windows(texts))
-            if len(words) > 1_000_000 or len(bits[0]) > 4_000_000:
+            if len(words) > HELD_WORDS or len(bits[0]) > HELD_WINDOWS:
                 yield from rows(words, bits)
                 words, bits = Counter(), counted_windows([])
         yield from rows(words, bits)
+        words.clear()
+        give_back()
 
     return texts.select("text").mapInArrow(run, "word binary, slot int, n long, ones long, shard int, windows binary, counts binary")
 
@@ -351,6 +309,8 @@ def _mix(windows: DataFrame, first, rate: float = 0.02, step: int = 2048, block:
                     j = slice(i, i + step)
                     mixer.learn(x[j], gate[j], one[j], times[j], bit, rate)
                 total += np.bincount(gate, weights=times, minlength=GATES)
+        del own, w, n
+        give_back()
         what = ["w"] * mixer.weights.size + ["r"] * len(mixer.seen)
         each = np.repeat(total, ORDERS + 1)
         return pa.table({"what": what, "at": pa.array([*range(mixer.weights.size), *range(len(mixer.seen))], pa.int32()), "n": np.concatenate([each, mixer.seen]), "sum": np.concatenate([mixer.weights.ravel() * each, mixer.ones])})
@@ -363,6 +323,10 @@ class Model:
 
     def __init__(self, docs: DataFrame, head: int = HEAD) -> None:
         """Learn from docs (a column text; null is empty), all rows."""
+        with arrow_batches(docs.sparkSession):
+            self._learn(docs, head)
+
+    def _learn(self, docs: DataFrame, head: int) -> None:
         sc = docs.sparkSession.sparkContext
         self.shards = 1 + (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES
         counted = materialize(_count(docs, self.shards), "lm-counts")
@@ -372,7 +336,7 @@ class Model:
         self.tokens, self.distinct = total[0] or 0, total[1]
         got = counted.where(F.col("slot").isNotNull()).groupBy("slot").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones")).toArrow()
         slot, n, ones = (got.column(k).to_numpy() for k in ("slot", "n", "ones"))
-        first = np.zeros(_OFFSETS[1], np.int64), np.zeros(_OFFSETS[1], np.int64)
+        first = np.zeros(FIRST, np.int64), np.zeros(FIRST, np.int64)
         first[0][slot], first[1][slot] = n - ones, ones
         self.first = sc.broadcast(first)
         weights, seen, hits = Mixer().weights, np.zeros(8 * CELLS), np.zeros(8 * CELLS)
@@ -381,13 +345,20 @@ class Model:
                 seen[r["at"]], hits[r["at"]] = r["n"], r["sum"]
             elif r["n"]:
                 weights.flat[r["at"]] = r["sum"] / r["n"]
-        frequent = self.words.where(F.length("word") <= HEAD_BYTES).orderBy(F.desc("c"), "word").limit(head)
-        self.head = sc.broadcast({bytes(r["word"]): r["c"] for r in frequent.collect()})
+        self.head = sc.broadcast({bytes(r["word"]): r["c"] for r in self._frequent(head).collect()})  # at most head rows
         self.mixer = sc.broadcast(Mixer(weights, seen, hits))
 
-    def log10(self, c):
-        """Of the smoothed share of a word seen c times."""
-        return math.log10((c + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
+    def _frequent(self, most: int) -> DataFrame:
+        """The words above some count, at most so many: a histogram of logarithms of counts, of some hundred rows, gives the count."""
+        level = F.floor(16 * F.log2("c"))
+        short = self.words.where(F.length("word") <= HEAD_BYTES)
+        cut, total = None, 0
+        for r in sorted(short.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+            total += r["count"]
+            if total > most:
+                break
+            cut = r["level"]
+        return short.where(F.lit(False) if cut is None else level >= cut)
 
 
 def _written(batch: pa.RecordBatch) -> bytes:
@@ -418,7 +389,7 @@ def _ask(docs: DataFrame, model: Model) -> DataFrame:
         get, end = logs.get, logs.get(END)
         chunk, size, new = TaskContext.get().partitionId() << 32, 0, []
         recent = np.full(1 << COST_BITS, np.uint64(2**64 - 1))
-        for b in _slices(batches):
+        for b in byte_slices(batches, 1, 1000, 1 << 20):
             texts = _texts(b, 1)
             tokens, known, base, rare = [], [], [], []
             for t in texts:
@@ -431,8 +402,8 @@ def _ask(docs: DataFrame, model: Model) -> DataFrame:
                 known.append(len(ws) + 1 - sum(tail.values()))
                 base.append(math.fsum(x for x in found if x is not None) + (end or 0.0))
                 rare.append([{"word": w, "n": n} for w, n in tail.items()])
-            own = [b.column(0), b.column(1), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, rare_type)]
-            yield batch(1, chunk=[chunk], docs=[_written(pa.RecordBatch.from_arrays(own, names=["doc_id", "text", "n_tokens", "known", "base", "rare"]))])
+            own = [b.column(0), pa.array([len(t) + 1 for t in texts], pa.int64()), b.column(1), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, rare_type)]
+            yield batch(1, chunk=[chunk], docs=[_written(pa.RecordBatch.from_arrays(own, names=["doc_id", "n_bytes", "text", "n_tokens", "known", "base", "rare"]))])
             w, starts, ends = windows(texts)
             inside = np.zeros(len(w) + 1, np.int8)
             np.add.at(inside, starts, 1)
@@ -450,6 +421,9 @@ def _ask(docs: DataFrame, model: Model) -> DataFrame:
                 recent[:] = np.uint64(2**64 - 1)
         if new:
             yield from asked(chunk, new)
+        new.clear()
+        logs.clear()
+        give_back()
 
     return docs.mapInArrow(run, "chunk long, docs binary, shard int, windows binary")
 
@@ -464,15 +438,20 @@ def _priced(asked: DataFrame, model: Model) -> DataFrame:
         every = np.unique(_joined(rows.column("windows"), np.uint64))
         costs = Costs(Contexts(first.value, *_training_windows(train)), mixer.value).compute(every).astype(np.float32)
         found = [pack(costs[np.searchsorted(every, unpack(b, np.uint64))]) for b in rows.column("windows").to_pylist()]
+        give_back()
         return pa.table({"chunk": rows.column("chunk"), "windows": rows.column("windows"), "costs": pa.array(found, pa.binary())})
 
     return model.windows.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(run, "chunk long, windows binary, costs binary")
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) of every row; a null text is empty: one token, the end."""
+    """(doc_id, n_tokens, n_known, base_score, score, bits_per_byte) of every row.
+
+    A null text is empty: one token, and the final zero byte.  bits_per_byte counts that byte too.
+    Repeated rows are scored one by one; a null id stays null; other columns are not looked at.
+    """
     below = model.tokens + 0.1 * (model.distinct + 1)
-    kept = ["doc_id", "n_tokens", "known", "base", "rare"]
+    kept = ["doc_id", "n_bytes", "n_tokens", "known", "base", "rare"]
 
     def add_up(rows: pa.Table, costs: pa.Table) -> pa.Table:
         own = Known(_joined(costs.column("windows"), np.uint64), _joined(costs.column("costs"), np.float32))
@@ -481,13 +460,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             part = pa.ipc.open_stream(blob).read_all()
             texts = [(t or "").encode() for t in part.column("text").to_pylist()]
             out.append(part.select(kept).append_column("score", pa.array(own.texts(texts), pa.float64())))
+        del own
+        give_back()
         return pa.concat_tables(out)
 
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    asked = materialize(_ask(own, model), "lm-asked")
+    with arrow_batches(docs.sparkSession):
+        asked = materialize(_ask(own, model), "lm-asked")
     costs = _priced(asked.where(F.col("shard").isNotNull()).select("shard", "chunk", "windows"), model)
     rows = asked.where(F.col("docs").isNotNull()).select("chunk", "docs").groupBy("chunk").cogroup(costs.groupBy("chunk"))
-    rows = rows.applyInArrow(add_up, "doc_id long, n_tokens long, known long, base double, rare array<struct<word:binary,n:long>>, score double")
+    rows = rows.applyInArrow(add_up, "doc_id long, n_bytes long, n_tokens long, known long, base double, rare array<struct<word:binary,n:long>>, score double")
     rows = materialize(rows.withColumn("_uid", F.monotonically_increasing_id()), "lm-scored")
     drop_scratch(asked)
     rare = rows.select("_uid", F.inline("rare")).join(model.words, "word", "left")
@@ -495,7 +477,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     rare = rare.groupBy("_uid").agg(F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("more"), F.sum(F.col("n") * F.log10((c + 0.1) / F.lit(below))).alias("rest"))
     return rows.drop("rare").join(rare, "_uid", "left").select(
         F.col("doc_id").alias(id_col), "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score",
+        (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score", (F.col("score") / (-math.log10(2) * F.col("n_bytes"))).alias("bits_per_byte"),
     )
 
 
@@ -504,7 +486,7 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_bucket(F.col("doc_id"), 10) == 0
     model = Model(docs.where(~held_out))
     out = score(docs, model)
-    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "bits_per_byte")
 
 
 QUERIES = {"op6_lm_score": op6_lm_score}

@@ -57,20 +57,69 @@ def test_empty_tables(spark):
     assert r["n_known"] == 0 and r["base_score"] == 0 and r["score"] == pytest.approx(24 * math.log10(0.5), rel=0.2)
 
 
-def test_probabilities_add_up():
-    w, n = L.counted_windows([b"the cat and the dog and the hen " * 9])
-    zeros = np.zeros(L._OFFSETS[-1])
-    ones = np.zeros(L._OFFSETS[-1])
+def contexts_of(texts):
+    w, n = L.counted_windows(texts)
+    first = np.zeros(L.FIRST, np.int64), np.zeros(L.FIRST, np.int64)
     for bit in range(8):
         one = (w >> np.uint64(7 - bit) & np.uint64(1)).astype(bool)
-        for at in L.slots(w, bit):
-            np.add.at(ones, at[one], n[one])
-            np.add.at(zeros, at[~one], n[~one])
-    every = np.arange(L._OFFSETS[-1])
-    costs = L.Costs(L.Tables(every, zeros, ones), L.Mixer())
+        np.add.at(first[1], L.first_slot(w, bit)[one], n[one])
+        np.add.at(first[0], L.first_slot(w, bit)[~one], n[~one])
+    return L.Contexts(first, w, n)
+
+
+def test_probabilities_add_up():
+    costs = L.Costs(contexts_of([b"the cat and the dog and the hen " * 9]), L.Mixer())
     context = np.uint64(int.from_bytes(b"d the", "big")) << np.uint64(8)
     assert (10 ** costs.compute(context | np.arange(256, dtype=np.uint64))).sum() == pytest.approx(1)
-    assert costs.texts([b"the cat", b"", b"the cat"])[0] == costs.texts([b"zzz", b"the cat"])[1]
+    w = L.counted_windows([b"the cat", b"zzz", b""])[0]
+    known = L.Known(w, costs.compute(w).astype(np.float32))
+    assert known.texts([b"the cat", b"", b"the cat"])[0] == known.texts([b"zzz", b"the cat"])[1]
+
+
+def test_scores_equal_brute_force(spark):
+    """The score of each text from naive counts of contexts and the learned weights, bit by bit."""
+    rows = [(i, f"plot {i % 5} of the forest, number {i * 37 % 11}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = L.Model(df)
+    seen = Counter()
+    for _, t in rows:
+        b = b"\0" * 5 + t.encode() + b"\0"
+        for i in range(5, len(b)):
+            for k in range(1, 6):
+                for bit in range(8):
+                    seen[k, b[i - k : i], bit, b[i] >> 8 - bit, b[i] >> 7 - bit & 1] += 1
+    mixer = model.mixer.value
+    level = lambda n: sum(n >= x for x in (1, 8, 128))
+
+    def score(text):
+        b, total = b"\0" * 5 + text.encode() + b"\0", 0.0
+        for i in range(5, len(b)):
+            for bit in range(8):
+                n = {k: [seen[k, b[i - k : i], bit, b[i] >> 8 - bit, one] for one in (0, 1)] for k in range(1, 6)}
+                x = [max(-12, min(12, math.log((n[k][1] + 0.05) / (n[k][0] + 0.05)))) for k in range(1, 6)] + [0.3]
+                gate = (bit * 4 + level(sum(n[5]))) * 4 + level(sum(n[3]))
+                dot = max(-12, min(12, sum(a * c for a, c in zip(x, mixer.weights[gate].tolist()))))
+                p = 1 / (1 + math.exp(-dot))
+                cell = bit * L.CELLS + round((max(-8, min(8, dot)) + 8) * (L.CELLS - 1) / 16)
+                p = (p + (mixer.ones[cell] + 32 * p) / (mixer.seen[cell] + 32)) / 2
+                p = min(max(p, 1e-6), 1 - 1e-6)
+                total += math.log10(p if b[i] >> 7 - bit & 1 else 1 - p)
+        return total
+
+    some = [(1, "plot 3 of the forest"), (2, "unseen \u00e9 words"), (3, None), (4, "the the the")]
+    for r in L.score(spark.createDataFrame(some, df.schema), model).collect():
+        text = dict(some)[r["doc_id"]] or ""
+        assert r["score"] == pytest.approx(score(text), rel=1e-3)
+        assert r["bits_per_byte"] == pytest.approx(-r["score"] / math.log10(2) / (len(text.encode()) + 1))
+
+
+def test_what_a_task_holds_changes_nothing(spark, monkeypatch):
+    rows = [(i, f"plot {i % 9} of the forest number {i * 37 % 101}") for i in range(2000)]
+    want = L.Model(spark.createDataFrame(rows, "doc_id long, text string").repartition(1))
+    monkeypatch.setattr(L, "HELD_WINDOWS", 50)
+    monkeypatch.setattr(L, "HELD_WORDS", 20)
+    got = L.Model(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert np.allclose(got.mixer.value.weights, want.mixer.value.weights) and got.head.value == want.head.value and (got.tokens, got.distinct) == (want.tokens, want.distinct)
 
 
 def test_windows():
