@@ -2,32 +2,40 @@
 
 Random indexing: a word, and the shape of a word (its case and the symbols in it), has a sparse ternary
 index vector that follows from its hash.  A word's context vector adds up the index vectors of its
-neighbours over the training texts; its vector is the index vector plus the direction of the context
-vector.  A word that training has not seen, and a shape, has its index vector alone.  A text pools
-the vectors of all its words: their mean, the spread around it, and how its words repeat.
-
-The network (tanh, then logistic) is fitted on a bounded sample of labelled rows; a part of it set
-aside calibrates the temperature.  ``max_labelled`` is the bound: the rows of the smallest hash of the
-id.  Only their texts reach the driver, in Arrow batches; ``max_bytes`` of text per row is no prefix
-but a condition: longer labelled texts are not in the sample.  All rows are scored, whole texts.
+neighbours over all documents; its vector is the index vector plus the direction of the context vector.
+Context vectors are kept for the most frequent words of the corpus, ``VOCABULARY`` of them at most, which
+is the size of the model; any other word, and a shape, has its index vector alone.  A text pools the
+vectors of all its words: their mean, the spread around it, and how its words repeat.
+
+Each partition adds up its own context vectors; they are added together in rounds, so many at a time,
+until there is one sum for each block of words.  The network (tanh, then logistic) is fitted on a bounded
+sample of labelled rows; a part of it set aside calibrates the temperature.  ``max_labelled`` is the
+bound: the ids of the smallest hash, with one text each, of any length.  Texts are pooled where they are;
+only their pooled vectors reach the driver.  All rows are scored, whole texts.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrat.llm.common import crc_bucket, table
+from quadrat.llm.common import arrow_batches, byte_slices, crc_bucket, drop_scratch, materialize, table
+from quadrat.llm.worker import give_back, state
 
-MAX_LABELLED, MAX_BYTES = 3000, 40_000
+MAX_LABELLED = 3000
 DIM, NONZERO, HIDDEN = 64, 6, 24
 THRESHOLD = 0.3
-VOCABULARY = 20_000
+VOCABULARY, REACH = 20_000, 2
+#: Words in a block of sums, sums that are added up in one task, and distinct words that a task holds when it counts.
+BLOCK, FAN_IN, HELD_WORDS = 1000, 32, 500_000
 _SHAPE = bytes(ord("A") if 65 <= c <= 90 else ord("a") if 97 <= c <= 122 or c >= 128 else ord("0") if 48 <= c <= 57 else c for c in range(256))
 
 
@@ -95,23 +103,116 @@ class Vectors:
         return out
 
 
-def learn_vectors(texts: list[str], window: int = 2, most: int = VOCABULARY) -> Vectors:
-    """Context vectors of the most frequent words in some texts."""
-    split = [t.encode().lower().split() for t in texts]
-    counts = Counter(w for ws in split for w in ws)
-    known = {w: i for i, (w, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:most])}
-    index = index_matrix(list(known))
-    sums = np.zeros((len(known), DIM))
-    for ws in split:
-        at = np.array([known.get(w, -1) for w in ws], np.int64)
-        for d in range(1, window + 1):
-            a, b = at[:-d], at[d:]
-            ok = (a >= 0) & (b >= 0)
-            np.add.at(sums, a[ok], index[b[ok]])
-            np.add.at(sums, b[ok], index[a[ok]])
-    norm = np.linalg.norm(sums, axis=1, keepdims=True)
-    sums /= np.where(norm > 0, norm, 1)
-    return Vectors({w: sums[i].astype(np.float32) for w, i in known.items()})
+def _words(texts: pa.Array) -> pa.ListArray:
+    """The words of each text, A-Z in lower case; empty strings may be among them."""
+    return pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+
+
+def frequent_words(docs: DataFrame, most: int = VOCABULARY) -> list[str]:
+    """The words of docs (text) above some count, at most so many, by their counts.
+
+    A histogram of logarithms of counts gives the count, so no more words than that reach the driver.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+            counts.clear()
+            return batch
+
+        for b in byte_slices(batches, 0):
+            found = _words(b.column(0)).flatten().value_counts()
+            for w, n in zip(found.field(0).to_pylist(), found.field(1).to_pylist(), strict=True):
+                counts[w] += n
+            if len(counts) > HELD_WORDS:
+                yield out()
+        yield out()
+        give_back()
+
+    counted = docs.select("text").mapInArrow(run, "word string, n long").where("word != '' AND octet_length(word) <= 256")
+    with arrow_batches(docs.sparkSession):
+        words = materialize(counted.groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
+    level = F.floor(16 * F.log2("n"))
+    cut, total = None, 0
+    for r in sorted(words.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):  # some hundred rows
+        total += r["count"]
+        if total > most:
+            break
+        cut = r["level"]
+    got = [] if cut is None else words.where(level >= cut).collect()
+    drop_scratch(words)
+    return [r["word"] for r in sorted(got, key=lambda r: (-r["n"], r["word"]))]
+
+
+def index_parts(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The places and signs of the NONZERO components of each word's index vector."""
+    h = hashes([w.encode() for w in words])
+    bits = np.stack([h >> np.uint64(7 * k) for k in range(NONZERO)], axis=1)
+    return (bits & np.uint64(DIM - 1)).astype(np.int64), 1.0 - 2.0 * (bits >> np.uint64(6) & np.uint64(1)).astype(np.float64)
+
+
+def context_sums(texts: pa.Array, words: pa.Array, places: np.ndarray, signs: np.ndarray, sums: np.ndarray) -> None:
+    """Add to sums, a row for each of words, the index vectors of the words up to REACH before and after it."""
+    split = _words(texts)
+    flat = split.flatten()
+    real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+    at = pc.fill_null(pc.index_in(flat, value_set=words), -1).to_numpy(zero_copy_only=False)[real].astype(np.int64)
+    text = np.repeat(np.arange(len(split)), pc.list_value_length(split).to_numpy(zero_copy_only=False))[real]
+    cells = sums.ravel()
+    for d in range(1, REACH + 1):
+        a, b = at[:-d], at[d:]
+        both = (a >= 0) & (b >= 0) & (text[:-d] == text[d:])
+        pair, n = np.unique(a[both] * len(words) + b[both], return_counts=True)
+        x, y = pair // len(words), pair % len(words)
+        for own, other in ((x, y), (y, x)):
+            for k in range(NONZERO):
+                np.add.at(cells, own * DIM + places[other, k], n * signs[other, k])
+
+
+def learn_vectors(docs: DataFrame, most: int = VOCABULARY) -> dict[bytes, np.ndarray]:
+    """Context vectors of the most frequent words, from all rows of docs (text)."""
+    words = frequent_words(docs, most)
+    if not words:
+        return {}
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(words)  # at most `most` words of 256 bytes
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        known, (places, signs) = pa.array(shared.value, pa.string()), index_parts(shared.value)
+        sums = np.zeros((len(known), DIM))
+        for b in byte_slices(batches, 0):
+            context_sums(b.column(0), known, places, signs, sums)
+        parts = [sums[i : i + BLOCK].astype("<f8").tobytes() for i in range(0, len(sums), BLOCK)]
+        columns = [[TaskContext.get().partitionId()] * len(parts), range(len(parts)), [pa.compress(x, "zstd", asbytes=True) for x in parts], map(len, parts)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.int64()), strict=True)], names=["part", "block", "sums", "size"])
+        give_back()
+
+    def merge(rows: pa.Table) -> pa.Table:
+        size = rows.column("size")[0].as_py()
+        total = np.zeros(size // 8)
+        for x in rows.column("sums").to_pylist():
+            total += np.frombuffer(pa.decompress(x, size, "zstd", asbytes=True), "<f8")
+        one = rows.slice(0, 1)
+        return pa.table({"part": one.column("part"), "block": one.column("block"), "sums": pa.array([pa.compress(total.tobytes(), "zstd", asbytes=True)], pa.binary()), "size": one.column("size")})
+
+    kind = "part long, block long, sums binary, size long"
+    with arrow_batches(spark):
+        sums = materialize(docs.select("text").mapInArrow(add, kind), "context-sums")
+        parts = sums.agg(F.max("part")).first()[0] or 0
+        while parts:
+            parts //= FAN_IN
+            last, sums = sums, materialize(sums.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("part", "block").applyInArrow(merge, kind), "context-sums")
+            drop_scratch(last)
+    got = sorted(sums.collect(), key=lambda r: r["block"])  # DIM numbers for each word of the vocabulary
+    drop_scratch(sums)
+    total = np.concatenate([np.frombuffer(pa.decompress(bytes(r["sums"]), r["size"], "zstd", asbytes=True), "<f8") for r in got]).reshape(-1, DIM)
+    norm = np.linalg.norm(total, axis=1, keepdims=True)
+    total = (total / np.where(norm > 0, norm, 1)).astype(np.float32)
+    return {w.encode(): total[i] for i, w in enumerate(words)}
 
 
 class Network:
@@ -163,41 +264,56 @@ class Network:
         return 1 / (1 + np.exp(-self._logits(self._scale(x)) / self.temperature))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_bytes: int = MAX_BYTES) -> tuple[dict[bytes, np.ndarray], Network]:
-    """(context vectors, network) from docs (doc_id, text) and labels (doc_id, quality); held-out rows must not be in labels."""
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> tuple[dict[bytes, np.ndarray], Network]:
+    """(context vectors, network) from docs (doc_id, text) and labels (doc_id, quality); held-out rows must not be in labels.
+
+    Labels without an id or a quality are not used; of labels that repeat an id the least counts, and
+    of documents that repeat it the one of the least text, null texts left out.  Without labelled rows,
+    or with one kind of label only, every text has the same score.  An empty table teaches nothing.
+    """
     own = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_label"))
     chosen = own.orderBy(F.xxhash64("_id", F.lit(4)), "_id").limit(max_labelled)
-    some = docs.select("doc_id", "text").where(F.octet_length("text") <= max_bytes).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("_id", "_label", "text")
-    got = some.toArrow().sort_by([("_id", "ascending"), ("text", "ascending")])
-    texts, y = got.column("text").to_pylist(), np.array(got.column("_label").to_pylist(), np.float64)
-    vectors = learn_vectors(texts)
-    x = np.stack([vectors.pool(t) for t in texts]) if texts else np.zeros((1, 2 * DIM + 4))
-    return vectors.context, Network(x, y if len(y) else np.array([0.5]))
+    context = learn_vectors(docs.select("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(context)
 
+    def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors = Vectors(shared.value)
+        for b in byte_slices(batches, 2):
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([vectors.pool(t) for t in b.column(2).to_pylist()], pa.list_(pa.float64()))], names=["id", "label", "x"])
 
-_WORKER: dict[str, Vectors] = {}
+    some = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    some = some.groupBy("_id").agg(F.min("_label").cast("int").alias("_label"), F.min("text").alias("text"))
+    with arrow_batches(docs.sparkSession):
+        got = some.select(F.col("_id").cast("long"), "_label", "text").mapInArrow(pooled, "id long, label int, x array<double>").collect()  # max_labelled rows
+    got.sort(key=lambda r: r["id"])
+    x = np.array([r["x"] for r in got]) if got else np.zeros((1, 2 * DIM + 4))
+    return context, Network(x, np.array([r["label"] for r in got], np.float64) if got else np.array([0.5]))
 
 
-def score(docs: DataFrame, model: tuple[dict[bytes, np.ndarray], Network], text_col: str = "text") -> DataFrame:
-    """docs with a column ``_score``: the probability of label 1, for every row.
+def probability(docs: DataFrame, model: tuple[dict[bytes, np.ndarray], Network], text: Column) -> Column:
+    """The probability of label 1 for a text of docs.
 
     A null text is empty, and all texts without a word have one and the same score.
     """
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(model)
-    key = f"{sc.applicationId}-{id(model)}"
+    key = f"{sc.applicationId}-{uuid.uuid4().hex}"
 
     @F.pandas_udf("double")
-    def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if key not in _WORKER:
-            _WORKER.clear()
-            _WORKER[key] = Vectors(shared.value[0])
-        vectors = _WORKER[key]
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        vectors = state(key, lambda: Vectors(shared.value[0]))
         for texts in batches:
             x = np.stack([vectors.pool(t) for t in texts]) if len(texts) else np.zeros((0, 2 * DIM + 4))
             yield pd.Series(shared.value[1].probability(x))
 
-    return docs.withColumn("_score", probability(F.col(f"`{text_col}`")))
+    return scored(text)
+
+
+def score(docs: DataFrame, model: tuple[dict[bytes, np.ndarray], Network], text_col: str = "text", out: str = "_score") -> DataFrame:
+    """docs with one more column, by default ``_score``; a column of docs of that name is an error, not overwritten."""
+    if out.lower() in map(str.lower, docs.columns):
+        raise ValueError(f"there is a column {out}")
+    return docs.withColumn(out, probability(docs, model, F.col(f"`{text_col}`")))
 
 
 def train_rows(labels: DataFrame, modulus: int = 5) -> DataFrame:
@@ -205,9 +321,9 @@ def train_rows(labels: DataFrame, modulus: int = 5) -> DataFrame:
 
 
 def keep_above(docs: DataFrame, model: tuple[dict[bytes, np.ndarray], Network], threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs, with their columns, that score the threshold or more."""
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text").alias("_text"))
-    return score(row, model, "_text").where(F.col("_score") >= threshold).select("_row.*")
+    """The rows of docs, with their columns, whatever their names, that score the threshold or more."""
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("own"))
+    return row.withColumn("score", probability(row, model, F.col("own"))).where(F.col("score") >= threshold).select("row.*")
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
