@@ -22,34 +22,6 @@ def _(t):
     return D.hellinger_lcbd(comm(t)).agg(F.count("*").alias("plots"), F.round(F.sum("lcbd"), 9).alias("total"))
 
 
-@query("D19", f"WITH {TIPS}, b AS ({BRANCHES}), y AS (SELECT b, count(DISTINCT plot) AS y FROM b GROUP BY 1), n AS (SELECT count(DISTINCT plot) AS n FROM comm) SELECT round(count(*) + (max(n) - 1) / max(n) * CASE WHEN count(*) FILTER (y <= 240) > 0 AND count(*) FILTER (y > 240 AND y <= 260) > 0 THEN pow(count(*) FILTER (y <= 240), 2) / (2 * count(*) FILTER (y > 240 AND y <= 260)) ELSE 0 END, 6) AS asymptote FROM y, n")
-def _(t):
-    y = D.branch_incidence(tips(t), closure(t)).agg(F.count("*").alias("s"), F.count(F.when(F.col("y") <= 240, 1)).alias("f1"), F.count(F.when((F.col("y") > 240) & (F.col("y") <= 260), 1)).alias("f2"))
-    n = tips(t).agg(F.count_distinct("plot").alias("n"))
-    more = F.when((F.col("f1") > 0) & (F.col("f2") > 0), F.col("f1") * F.col("f1") / (2 * F.col("f2"))).otherwise(0.0)
-    return y.crossJoin(F.broadcast(n)).select(r6(F.col("s") + (F.col("n") - 1) / F.col("n") * more).alias("asymptote"))
-
-
-@query("D20", f"WITH {TIPS}, b AS ({BRANCHES}), y AS (SELECT b, count(DISTINCT plot) AS y FROM b GROUP BY 1), n AS (SELECT count(DISTINCT plot) AS n FROM comm) SELECT m::INT AS m, round(sum(1 - CASE WHEN n - y >= m THEN exp(lgamma(n - y + 1) - lgamma(n - y - m + 1) + lgamma(n - m + 1) - lgamma(n + 1)) ELSE 0 END), 4) AS pd FROM y, n, (VALUES (5), (20), (80)) v(m) GROUP BY 1")
-def _(t):
-    y = D.branch_incidence(tips(t), closure(t)).groupBy("y").agg(F.sum("length").alias("l"))  # one row for each count
-    n = tips(t).agg(F.count_distinct("plot").alias("n"))
-
-    @F.pandas_udf("double")
-    def missed(n: pd.Series, y: pd.Series, m: pd.Series) -> pd.Series:
-        lg = math.lgamma
-        return pd.Series([math.exp(lg(a - b + 1) - lg(a - b - c + 1) + lg(a - c + 1) - lg(a + 1)) if a - b >= c else 0.0 for a, b, c in zip(n, y, m, strict=True)])
-
-    rows = y.crossJoin(F.broadcast(n)).withColumn("m", F.explode(F.array(F.lit(5), F.lit(20), F.lit(80))))
-    return rows.groupBy("m").agg(F.round(F.sum(F.col("l") * (1 - missed("n", "y", "m"))), 4).alias("pd"))
-
-
-@query("D32", "WITH c AS (SELECT l_partkey AS species, count(*) AS x FROM lineitem GROUP BY 1), n AS (SELECT sum(x)::BIGINT AS n FROM c) SELECT m::INT AS m, round(sum(1 - CASE WHEN n - x >= m THEN exp(lgamma(n - x + 1) - lgamma(n - x - m + 1) + lgamma(n - m + 1) - lgamma(n + 1)) ELSE 0 END), 3) AS q0 FROM c, n, (VALUES (10), (100), (1000)) v(m) GROUP BY 1")
-def _(t):
-    pooled = t.lineitem.groupBy(F.col("l_partkey").alias("species")).agg(F.count("*").alias("value")).withColumn("plot", F.lit(0))
-    return D.rarefied(pooled, [10, 100, 1000]).select("m", F.round("q0", 3).alias("q0"))
-
-
 @query("A31", "WITH s AS (SELECT l_linestatus AS family, l_returnflag AS model, l_suppkey AS k, avg(l_tax) AS v FROM lineitem GROUP BY ALL) SELECT family, a.model AS a, b.model AS b, count(*) AS n, round(avg(a.v - b.v) / (stddev_samp(a.v - b.v) / sqrt(count(*))), 5) AS t FROM s a JOIN s b USING (family, k) WHERE a.model < b.model GROUP BY ALL")
 def _(t):
     s = t.lineitem.groupBy(F.col("l_linestatus").alias("family"), F.col("l_returnflag").alias("model"), F.col("l_suppkey").alias("k")).agg(F.avg("l_tax").alias("v"))
@@ -130,15 +102,6 @@ def _subset_partition(t, k: int):
     return D.partition(comm(t).where(f"plot <= {k}")).withColumn("size", F.lit(k))
 
 
-@query("D26", " UNION ALL ".join(f"""(WITH comm AS (SELECT l_suppkey AS plot, l_partkey AS species, sum(l_quantity) AS value FROM lineitem WHERE l_suppkey <= {k} GROUP BY ALL), p AS (SELECT plot, species, value / sum(value) OVER (PARTITION BY plot) AS p FROM comm),
-s AS (SELECT plot, sum(p * p) AS d FROM p GROUP BY 1), n AS (SELECT count(*) AS n FROM s) SELECT {k} AS size, round(1 / avg(d), 5) AS alpha, round((SELECT 1 / sum(q * q) FROM (SELECT sum(p) / n AS q FROM p, n GROUP BY species, n)), 5) AS gamma FROM s)""" for k in (2, 5, 10)))
-def _(t):
-    from functools import reduce
-
-    parts = [_subset_partition(t, k) for k in (2, 5, 10)]
-    return reduce(lambda a, b: a.unionByName(b), parts).where("q = 2").select("size", F.round("alpha", 5).alias("alpha"), F.round("gamma", 5).alias("gamma"))
-
-
 @query("M21")
 def _(t):
     """The first canonical pair of two blocks of columns: cross moments are one aggregate, the rest is of the size of the columns."""

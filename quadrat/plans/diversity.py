@@ -91,43 +91,17 @@ def _(t):
     return D.lcbd_from_squared(D.dissimilarity(rare(t), "bray").selectExpr("plot_a", "plot_b", "d AS d2")).select("plot", F.round("lcbd", 8).alias("lcbd"))
 
 
-@query("D12", "WITH comm AS (SELECT l_suppkey AS plot, l_partkey AS species, count(*) AS value FROM lineitem GROUP BY ALL), g AS (SELECT plot, sum(value)::DOUBLE AS n, count(*) FILTER (value = 1) AS f1, count(*) FILTER (value = 2) AS f2 FROM comm GROUP BY 1) SELECT plot, n, f1, f2, round(CASE WHEN f1 = 0 THEN 1 ELSE 1 - f1 / n * CASE WHEN f2 > 0 THEN (n - 1) * f1 / ((n - 1) * f1 + 2 * f2) ELSE (n - 1) * (f1 - 1) / ((n - 1) * (f1 - 1) + 2) END END, 6) AS coverage FROM g")
-def _(t):
-    c = t.lineitem.groupBy(F.col("l_suppkey").alias("plot"), F.col("l_partkey").alias("species")).agg(F.count("*").alias("value"))
-    return D.coverage(c).withColumn("coverage", r6("coverage"))
-
-
 @query("D14", f"WITH {TIPS}, b AS ({BRANCHES}) SELECT b AS branch, 1.0::DOUBLE AS length, count(DISTINCT plot) AS y FROM b GROUP BY 1")
 def _(t):
     return D.branch_incidence(tips(t), closure(t))
 
 
-@query("D15", "SELECT 3.0::DOUBLE AS depth")
-def _(t):
-    return closure(t).groupBy("node").agg(F.sum("length").alias("d")).agg(F.max("d").alias("depth"))
-
-
-@query("D16", f"WITH {TIPS}, b AS ({BRANCHES}), y AS (SELECT b, count(DISTINCT plot) AS y FROM b GROUP BY 1), u AS (SELECT sum(y) / 3.0 AS u FROM y) SELECT count(*) / 3.0::DOUBLE AS q0, round(exp(-sum(1.0 / 3 * y / u * ln(y / u))), 6) AS q1, round(1 / sum(1.0 / 3 * pow(y / u, 2)), 6) AS q2 FROM y, u")
-def _(t):
-    y = D.branch_incidence(tips(t), closure(t))
-    u = y.agg((F.sum("y") / 3.0).alias("u"))
-    p = F.col("y") / F.col("u")
-    return y.crossJoin(F.broadcast(u)).agg((F.sum("length") / 3.0).alias("q0"), r6(F.exp(-F.sum(F.col("length") / 3.0 * p * F.log(p)))).alias("q1"), r6(1 / F.sum(F.col("length") / 3.0 * p * p)).alias("q2"))
-
-
 @query("D17")
 def _(t):
     c = t.lineitem.groupBy(F.col("l_suppkey").alias("plot"), F.col("l_partkey").alias("species")).agg(F.count("*").alias("value"))
     return D.rarefied(c, [10, 50, 100, 200])
 
 
-@query("D18", f"WITH {TIPS}, b AS ({BRANCHES}), y AS (SELECT b, count(DISTINCT plot) AS y FROM b GROUP BY 1) SELECT count(*) FILTER (y <= 200) AS f1, count(*) FILTER (y > 200 AND y <= 1000) AS f2, coalesce(sum(1.0::DOUBLE) FILTER (y <= 200), 0) AS g1, coalesce(sum(1.0::DOUBLE) FILTER (y > 200 AND y <= 1000), 0) AS g2 FROM y")
-def _(t):
-    y = D.branch_incidence(tips(t), closure(t))
-    a, b = F.col("y") <= 200, (F.col("y") > 200) & (F.col("y") <= 1000)
-    return y.agg(F.count(F.when(a, 1)).alias("f1"), F.count(F.when(b, 1)).alias("f2"), F.coalesce(F.sum(F.when(a, F.col("length"))), F.lit(0.0)).alias("g1"), F.coalesce(F.sum(F.when(b, F.col("length"))), F.lit(0.0)).alias("g2"))
-
-
 @query("D25", f"""WITH {COMM}, p AS (SELECT plot, species, value / sum(value) OVER (PARTITION BY plot) AS p FROM comm), n AS (SELECT count(DISTINCT plot) AS n FROM p),
 s AS (SELECT plot, count(*) AS s, -sum(p * ln(p)) AS h, sum(p * p) AS d FROM p GROUP BY 1), a AS (SELECT avg(s) AS a0, exp(avg(h)) AS a1, 1 / avg(d) AS a2 FROM s),
 g AS (SELECT count(*)::DOUBLE AS g0, exp(-sum(p * ln(p))) AS g1, 1 / sum(p * p) AS g2 FROM (SELECT sum(p) / n AS p FROM p, n GROUP BY species, n))
@@ -136,11 +110,6 @@ def _(t):
     return D.partition(comm(t)).select("q", *[r6(c).alias(c) for c in ("alpha", "beta", "gamma")])
 
 
-@query("D27", f"WITH {TIPS}, a AS (SELECT DISTINCT plot, species FROM comm) SELECT x.plot, round(avg(CASE WHEN x.species // 6 = y.species // 6 THEN 2.0::DOUBLE WHEN x.species // 30 = y.species // 30 THEN 4 ELSE 6 END) FILTER (x.species < y.species), 6) AS mpd FROM a x JOIN a y USING (plot) GROUP BY 1")
-def _(t):
-    return D.mean_pairwise(tips(t), closure(t)).select("plot", r6("mpd").alias("mpd"))
-
-
 @query("D29", f"WITH {TIPS}, b AS ({BRANCHES}) SELECT plot, count(*)::DOUBLE AS pd FROM b GROUP BY 1")
 def _(t):
     return D.faith_pd(tips(t), closure(t))

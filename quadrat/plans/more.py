@@ -234,19 +234,6 @@ def _(t):
     return c.select(F.concat(F.lit("PCL_"), F.col("plot")).alias("plot"), "species", "value")
 
 
-@query("D28", f"WITH {RARE}, n AS (SELECT species, count(*) AS n FROM comm GROUP BY 1), j AS (SELECT a.species AS s, b.species AS o, count(*) AS k FROM comm a JOIN comm b USING (plot) WHERE a.species <> b.species GROUP BY ALL) SELECT s, o, k FROM j JOIN n ON n.species = s WHERE k >= 2")
-def _(t):
-    c = rare(t)
-    j = c.select("plot", F.col("species").alias("s")).join(c.select("plot", F.col("species").alias("o")), "plot").where("s != o")
-    return j.groupBy("s", "o").agg(F.count("*").alias("k")).where("k >= 2")
-
-
-@query("D41", f"WITH {COMM} SELECT k::INT AS size, count(DISTINCT species) AS pool FROM comm, (VALUES (2), (5), (10)) v(k) WHERE plot < k GROUP BY 1")
-def _(t):
-    c = comm(t).withColumn("size", F.explode(F.array(*[F.lit(k) for k in (2, 5, 10)]))).where("plot < size")
-    return c.groupBy("size").agg(F.count_distinct("species").alias("pool"))
-
-
 @query("V07", "SELECT fold, split, count(*) AS n FROM (SELECT f AS fold, CASE WHEN c_nationkey % 4 = f THEN 'test' ELSE 'train' END AS split FROM customer, range(4) r(f)) GROUP BY ALL")
 def _(t):
     c = t.customer.select(F.explode(F.array(*[F.lit(i).cast("long") for i in range(4)])).alias("fold"), "c_nationkey")
