@@ -78,19 +78,6 @@ def _(t):
     return t.lineitem.select("l_suppkey").groupBy("l_suppkey").applyInPandas(run, "tile long, status string, n long")
 
 
-@query("I11", "SELECT vec_id, round(list_sum((embedding[1:16] || embedding[33:48])::DOUBLE[]), 5) AS s, 32 AS n FROM embeddings")
-def _(t):
-    both = F.concat(F.slice("embedding", 1, 16), F.slice("embedding", 33, 16))
-    return t.embeddings.select("vec_id", F.round(F.aggregate(F.transform(both, lambda x: x.cast("double")), F.lit(0.0), lambda a, x: a + x), 5).alias("s"), F.size(both).alias("n"))
-
-
-@query("I12", "SELECT vec_id, round(list_sum(list_transform(range(64), lambda c: (CASE WHEN (c // 8) % 2 = 0 THEN c ELSE c // 8 * 8 + 7 - c % 8 END) * embedding[c + 1]::DOUBLE)), 5) AS s FROM embeddings")
-def _(t):
-    step = S.serpentine_order(8)  # the cell of each step; it is its own inverse
-    profile = F.transform(F.array(*[F.lit(c) for c in step]), lambda c: F.col("embedding")[c].cast("double"))
-    return t.embeddings.select("vec_id", F.round(F.aggregate(F.transform(profile, lambda x, k: k * x), F.lit(0.0), lambda a, x: a + x), 5).alias("s"))
-
-
 @query("T07", "SELECT vec_id, d::INT AS day, round(a + (b - a) * f, 6) AS v FROM (SELECT vec_id, d, embedding[i + 1]::DOUBLE AS a, embedding[(i + 1) % 64 + 1]::DOUBLE AS b, CASE WHEN i + 1 < 64 THEN x - i ELSE (x - 63) / (365 / 5.75 - 63) END AS f FROM (SELECT *, least(floor(x)::BIGINT, 63) AS i FROM (SELECT vec_id, embedding, d, ((108 + d) % 365) / 5.75 AS x FROM embeddings, (VALUES (0), (7), (140), (259)) v(d))))")
 def _(t):
     curve = F.transform("embedding", lambda x: x.cast("double"))

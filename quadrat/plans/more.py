@@ -168,16 +168,6 @@ def _(t):
     return e.groupBy("user_id", "day").agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.count("*").alias("n")).where("n >= 2")
 
 
-for _name, _kind in (("I05", "markov"), ("I07", "wavelet"), ("I08", "cos2d"), ("I09", "spectrogram")):
-    query(_name)(lambda t, kind=_kind: images.transformed(t.embeddings, "embedding", kind, "image").select("vec_id", "image"))
-
-
-@query("I15", "SELECT label, count(*) AS n FROM embeddings GROUP BY 1")
-def _(t):
-    one = R.best_of(t.embeddings.select("label", "vec_id"), ["label"], [F.xxhash64("vec_id", F.lit(3)), F.col("vec_id")])
-    return t.embeddings.join(one.select("label"), "label").groupBy("label").agg(F.count("*").alias("n"))
-
-
 @query("G06", f"WITH {POINTS} SELECT round(avg(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))), 6) AS mean FROM p a JOIN p b ON a.id < b.id AND a.id % 5 = 0 AND b.id % 5 = 0")
 def _(t):
     p = points(t).where("id % 5 = 0")

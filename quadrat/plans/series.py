@@ -98,31 +98,7 @@ def _(t):
     return t.embeddings.select("vec_id", F.round(total(F.transform(s, lambda x, i: (i + 1) * x["v"])), 5).alias("w"))
 
 
-@query("I01", "SELECT vec_id, round(embedding[8 * 3 + 5]::DOUBLE, 6) AS c34 FROM embeddings")
-def _(t):
-    image = S.arranged(F.col("embedding"), list(range(64)))
-    return t.embeddings.select("vec_id", r6(image[28].cast("double")).alias("c34"))
-
-
 @query("I02", "SELECT vec_id, round(list_sum(list_transform(range(64), lambda c: (c + 1) * embedding[CASE WHEN (c // 8) % 2 = 0 THEN c ELSE c // 8 * 8 + 7 - c % 8 END + 1]::DOUBLE)), 5) AS s FROM embeddings")
 def _(t):
     image = S.arranged(F.col("embedding"), S.serpentine_order(8))
     return t.embeddings.select("vec_id", F.round(total(F.transform(image, lambda x, c: (c + 1) * x.cast("double"))), 5).alias("s"))
-
-
-@query("I03")
-def _(t):
-    return t.embeddings.select("vec_id", S.arranged(F.col("embedding"), S.hilbert_order(3)).alias("image"))
-
-
-@query("I04", "SELECT vec_id, round(list_sum(list_transform(x, lambda a: list_sum(list_transform(x, lambda b: abs(a * b - sqrt(1 - a * a) * sqrt(1 - b * b)))))), 3) AS s FROM (SELECT vec_id, list_transform(e, lambda v: greatest(-1, least(1, (2 * v - list_max(e) - list_min(e)) / (list_max(e) - list_min(e))))) AS x FROM (SELECT vec_id, embedding[1:16]::DOUBLE[] AS e FROM embeddings))")
-def _(t):
-    curve = F.transform(F.slice("embedding", 1, 16), lambda x: x.cast("double"))
-    own = t.embeddings.select("vec_id", F.explode(F.array(curve)).alias("e"))
-    return own.select("vec_id", F.round(total(F.transform(S.gramian(F.col("e")), lambda x: F.abs(x))), 3).alias("s"))
-
-
-@query("I06", "SELECT vec_id, round(list_sum(list_transform(e, lambda a: list_sum(list_transform(e, lambda b: abs(CASE WHEN abs(a + b) > 1e-8 THEN (a - b) / (a + b) ELSE 0 END))))), 3) AS s FROM (SELECT vec_id, list_transform(embedding[1:8]::DOUBLE[], lambda v: v + 2) AS e FROM embeddings)")
-def _(t):
-    curve = F.transform(F.slice("embedding", 1, 8), lambda x: x.cast("double") + 2)
-    return t.embeddings.select("vec_id", F.round(total(F.transform(S.normalised_differences(curve), lambda x: F.abs(x))), 3).alias("s"))
