@@ -27,3 +27,9 @@ def year_list(spec: Column) -> Column:
     parts = F.split(spec, r"\s*,\s*")
     one = lambda p: F.sequence(F.split(p, "-")[0].cast("int"), F.element_at(F.split(p, "-"), -1).cast("int"))
     return F.flatten(F.transform(parts, one))
+
+
+def circular(day: Column, period: float = 365.0) -> tuple[Column, Column]:
+    """A day of the year as sine and cosine."""
+    a = 2 * F.pi() * day / period
+    return F.sin(a), F.cos(a)

@@ -91,3 +91,65 @@ def order_free(value: str) -> list[Column]:
 def best_of(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
     """The first row of each group in an order that must not leave ties open."""
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("_r = 1").drop("_r")
+
+
+def aligned(tables: list[DataFrame], ids: DataFrame, key: str) -> DataFrame:
+    """align() for exactly the ids given; an id that no table has is an error, which costs one anti-join to see."""
+    every = align(tables, key)
+    missing = ids.select(key).join(every.select(key), key, "left_anti").limit(5).collect()
+    if missing:
+        raise KeyError(f"no table has {[r[key] for r in missing]}")
+    return ids.select(key).distinct().join(every, key)
+
+
+def resolve_targets(name: str | list[str], sets: dict[str, list[str]], forbidden: set[str], there: list[str]) -> list[str]:
+    """The columns of a named set, or of a list; names that are forbidden or not there are refused."""
+    names = sets[name] if isinstance(name, str) else list(name)
+    if bad := sorted(set(names) & forbidden):
+        raise ValueError(f"{bad} must not be targets")
+    if bad := [n for n in names if n not in there]:
+        raise ValueError(f"{bad} are not there")
+    return names
+
+
+def context_columns(df: DataFrame, terrain: list[str], undefined: str, area: float, stratum: str, strata_names: list[str], columns: list[str], keep: list[str]) -> DataFrame:
+    """df's terrain as topo_*, topo_flat where `undefined` is null, and constant area and stratum, in the order of columns; one that is not built here is an error."""
+    import math
+
+    if stratum not in strata_names:
+        raise ValueError(f"no stratum {stratum!r}")
+    made = {f"topo_{v}": F.col(v) for v in terrain} | {"topo_flat": F.col(undefined).isNull().cast("int").cast("double"), "area_log10": F.lit(math.log10(area))}
+    made |= {f"area_stratum_{s}": F.lit(float(s == stratum)) for s in strata_names[1:]}
+    if missing := [c for c in columns if c not in made]:
+        raise ValueError(f"{missing} are not built here")
+    return df.select(*keep, *[made[c].alias(c) for c in columns])
+
+
+def strata(column: Column, names: list[str], prefix: str) -> list[Column]:
+    """Indicators of a column's values but the first, which is the reference."""
+    return [(column == n).cast("int").cast("double").alias(f"{prefix}{n}") for n in names[1:]]
+
+
+def column_family(df: DataFrame, keys: list[str], prefixes: tuple[str, ...], suffix: str, rename: str) -> DataFrame:
+    """The columns that begin with a prefix and end with _suffix, without the suffix and with another prefix before; none is an error."""
+    end = f"_{suffix}"
+    cols = [c for c in df.columns if c.endswith(end) and c.startswith(prefixes)]
+    if not cols:
+        raise ValueError(f"no columns {prefixes} at {suffix!r}")
+    return df.select(*keys, *[F.col(c).alias(rename + c[: -len(end)]) for c in cols])
+
+
+def curve_statistics(df: DataFrame, keys: list[str], curve: str) -> DataFrame:
+    """(keys, mean, sd, p10, p25, p50, p75, p90, min, max, range, iqr, cv) of the values of each curve, nulls left out."""
+    v = df.select(*keys, F.explode(curve).alias("v"))
+    q = F.expr("percentile(v, array(0.1, 0.25, 0.5, 0.75, 0.9))")
+    s = v.groupBy(*keys).agg(F.avg("v").alias("mean"), F.stddev_samp("v").alias("sd"), q.alias("_q"), F.min("v").alias("min"), F.max("v").alias("max"))
+    s = s.select(*keys, "mean", "sd", *[F.col("_q")[i].alias(n) for i, n in enumerate(("p10", "p25", "p50", "p75", "p90"))], "min", "max")
+    return s.withColumns({"range": F.col("max") - F.col("min"), "iqr": F.col("p75") - F.col("p25"), "cv": F.when(F.abs("mean") > 1e-9, F.col("sd") / F.abs("mean"))})
+
+
+def index_contrasts(statistics: DataFrame, key: str, index: str) -> DataFrame:
+    """(key, a, b, diff, ratio, cvdiff) of the means and variations of each pair of indices a < b of a key."""
+    side = lambda n: statistics.select(key, F.col(index).alias(n), F.col("mean").alias(f"m{n}"), F.col("cv").alias(f"c{n}"))
+    j = side("a").join(side("b"), key).where("a < b")
+    return j.select(key, "a", "b", (F.col("ma") - F.col("mb")).alias("diff"), (F.col("ma") / F.when(F.abs("mb") > 1e-6, F.col("mb"))).alias("ratio"), (F.col("ca") - F.col("cb")).alias("cvdiff"))

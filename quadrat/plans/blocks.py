@@ -17,67 +17,6 @@ from quadrat.plans.relational import COMM, comm, r6
 from quadrat.plans.validation import OOF, oof
 
 
-@query("D09", f"WITH {COMM} SELECT count(DISTINCT plot) AS plots, 1.0::DOUBLE AS total FROM comm")
-def _(t):
-    return D.hellinger_lcbd(comm(t)).agg(F.count("*").alias("plots"), F.round(F.sum("lcbd"), 9).alias("total"))
-
-
-@query("A31", "WITH s AS (SELECT l_linestatus AS family, l_returnflag AS model, l_suppkey AS k, avg(l_tax) AS v FROM lineitem GROUP BY ALL) SELECT family, a.model AS a, b.model AS b, count(*) AS n, round(avg(a.v - b.v) / (stddev_samp(a.v - b.v) / sqrt(count(*))), 5) AS t FROM s a JOIN s b USING (family, k) WHERE a.model < b.model GROUP BY ALL")
-def _(t):
-    s = t.lineitem.groupBy(F.col("l_linestatus").alias("family"), F.col("l_returnflag").alias("model"), F.col("l_suppkey").alias("k")).agg(F.avg("l_tax").alias("v"))
-    j = s.select("family", "k", F.col("model").alias("a"), F.col("v").alias("x")).join(s.select("family", "k", F.col("model").alias("b"), F.col("v").alias("y")), ["family", "k"]).where("a < b")
-    d = F.col("x") - F.col("y")
-    return j.groupBy("family", "a", "b").agg(F.count("*").alias("n"), F.round(F.avg(d) / (F.stddev_samp(d) / F.sqrt(F.count("*"))), 5).alias("t"))
-
-
-@query("A32", f"WITH {OOF} SELECT fold, count(*) AS n, round(avg(d) / (stddev_samp(d) / sqrt(count(*))), 4) AS t FROM (SELECT fold, pow(pred - obs, 2) / 1e6 - pow(0.9 * pred - obs, 2) / 1e6 AS d FROM o) GROUP BY 1")
-def _(t):
-    d = (F.pow(F.col("pred") - F.col("obs"), F.lit(2)) - F.pow(0.9 * F.col("pred") - F.col("obs"), F.lit(2))) / 1e6
-    return oof(t).select("fold", d.alias("d")).groupBy("fold").agg(F.count("*").alias("n"), F.round(F.avg("d") / (F.stddev_samp("d") / F.sqrt(F.count("*"))), 4).alias("t"))
-
-
-@query("M14", "SELECT s_suppkey, round(avg(CASE WHEN z >= 0 THEN pow(z * 0.5 + 1, 2) - 1 ELSE 1 - pow(1 - 1.5 * z, 1 / 1.5) END), 5) AS y FROM (SELECT s_suppkey, s_acctbal / 1000 + seed * 0.1 AS z FROM supplier, range(3) r(seed)) GROUP BY 1")
-def _(t):
-    z = F.col("s_acctbal") / 1000
-    back = [V.yeo_johnson_inverse(z + k * 0.1, 0.5) for k in range(3)]
-    return t.supplier.select("s_suppkey", F.round((back[0] + back[1] + back[2]) / 3, 5).alias("y"))
-
-
-@query("M16", "SELECT s_suppkey, s_acctbal < 1000 AS flat, 900.0::DOUBLE AS area, 'forest' AS stratum FROM supplier")
-def _(t):
-    return t.supplier.select("s_suppkey", (F.col("s_acctbal") < 1000).alias("flat"), F.lit(900.0).alias("area"), F.lit("forest").alias("stratum"))
-
-
-@query("V15", "SELECT seed::INT AS seed, fold, round(avg(l_tax), 6) AS pred, count(*) AS n FROM (SELECT s AS seed, (l_suppkey + s) % 5 AS fold, l_tax FROM lineitem, range(3) r(s)) GROUP BY ALL")
-def _(t):
-    own = t.lineitem.select("l_suppkey", "l_tax", F.explode(F.array(*[F.lit(i) for i in range(3)])).alias("seed"))
-    return own.groupBy("seed", ((F.col("l_suppkey") + F.col("seed")) % 5).alias("fold")).agg(r6(F.avg("l_tax")).alias("pred"), F.count("*").alias("n"))
-
-
-@query("B01", "SELECT vec_id, round(embedding[5]::DOUBLE, 6) AS s04, round(embedding[6]::DOUBLE, 6) AS s05, list_position(embedding, list_max(embedding))::INT AS peak FROM embeddings")
-def _(t):
-    return t.embeddings.select("vec_id", *[r6(F.col("embedding")[i].cast("double")).alias(f"s0{i}") for i in (4, 5)], F.array_position("embedding", F.array_max("embedding")).cast("int").alias("peak"))
-
-
-@query("B02", "SELECT o_orderkey, round(log10(o_totalprice), 6) AS log_area, (o_orderstatus = 'F')::INT AS is_f FROM orders")
-def _(t):
-    return t.orders.select("o_orderkey", r6(F.log10("o_totalprice")).alias("log_area"), (F.col("o_orderstatus") == "F").cast("int").alias("is_f"))
-
-
-@query("B08", "SELECT l_suppkey AS tile, CASE WHEN l_suppkey % 7 = 3 THEN 'failed' ELSE 'ok' END AS status, CASE WHEN l_suppkey % 7 <> 3 THEN count(*) END AS n FROM lineitem GROUP BY 1")
-def _(t):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        tile = int(pdf["l_suppkey"].iloc[0])
-        try:
-            if tile % 7 == 3:
-                raise RuntimeError("no data for this tile")
-            return pd.DataFrame({"tile": [tile], "status": ["ok"], "n": [len(pdf)]})
-        except RuntimeError:  # a failure is a row, so the other tiles go on
-            return pd.DataFrame({"tile": [tile], "status": ["failed"], "n": pd.array([None], "Int64")})
-
-    return t.lineitem.select("l_suppkey").groupBy("l_suppkey").applyInPandas(run, "tile long, status string, n long")
-
-
 @query("T07", "SELECT vec_id, d::INT AS day, round(a + (b - a) * f, 6) AS v FROM (SELECT vec_id, d, embedding[i + 1]::DOUBLE AS a, embedding[(i + 1) % 64 + 1]::DOUBLE AS b, CASE WHEN i + 1 < 64 THEN x - i ELSE (x - 63) / (365 / 5.75 - 63) END AS f FROM (SELECT *, least(floor(x)::BIGINT, 63) AS i FROM (SELECT vec_id, embedding, d, ((108 + d) % 365) / 5.75 AS x FROM embeddings, (VALUES (0), (7), (140), (259)) v(d))))")
 def _(t):
     curve = F.transform("embedding", lambda x: x.cast("double"))

@@ -8,21 +8,11 @@ from quadrat.operators import diversity as D
 from quadrat.plans.catalog import query
 from quadrat.plans.relational import COMM, comm, r6
 
-#: A sparse community, in which many pairs of plots share no species.
-RARE = "comm AS (SELECT l_suppkey AS plot, l_partkey AS species, sum(l_quantity) AS value FROM lineitem WHERE l_quantity >= 49 GROUP BY ALL)"
 #: Tips 0..59 in genera of six and families of thirty; all branches have length 1.
 TIPS = "comm AS (SELECT l_orderkey AS plot, l_partkey % 60 AS species, sum(l_quantity) AS value FROM lineitem GROUP BY ALL)"
 BRANCHES = "SELECT DISTINCT plot, 't' || species AS b FROM comm UNION SELECT plot, 'g' || (species // 6) FROM comm UNION SELECT plot, 'f' || (species // 30) FROM comm"
 
 
-def rare(t):
-    return comm_of(t.lineitem.where("l_quantity >= 49"))
-
-
-def comm_of(lines):
-    return lines.groupBy(F.col("l_suppkey").alias("plot"), F.col("l_partkey").alias("species")).agg(F.sum("l_quantity").alias("value"))
-
-
 def tips(t):
     return t.lineitem.groupBy(F.col("l_orderkey").alias("plot"), F.concat(F.lit("t"), F.col("l_partkey") % 60).alias("species")).agg(F.sum("l_quantity").alias("value"))
 
@@ -38,20 +28,20 @@ def _(t):
     return D.hill_numbers(comm(t)).select("plot", "q0", r6("q1").alias("q1"), r6("q2").alias("q2"))
 
 
-_JACCARD = f"""WITH {RARE}, s AS (SELECT plot, count(*) AS t FROM comm GROUP BY 1), w AS (SELECT a.plot AS pa, b.plot AS pb, count(*) AS w FROM comm a JOIN comm b USING (species) WHERE a.plot < b.plot GROUP BY ALL),
+_JACCARD = f"""WITH {COMM}, s AS (SELECT plot, count(*) AS t FROM comm GROUP BY 1), w AS (SELECT a.plot AS pa, b.plot AS pb, count(*) AS w FROM comm a JOIN comm b USING (species) WHERE a.plot < b.plot GROUP BY ALL),
 d AS (SELECT a.plot AS plot_a, b.plot AS plot_b, 1 - coalesce(w, 0) / (a.t + b.t - coalesce(w, 0)) AS d FROM s a JOIN s b ON a.plot < b.plot LEFT JOIN w ON pa = a.plot AND pb = b.plot)"""
-_BRAY = f"""WITH {RARE}, s AS (SELECT plot, sum(value) AS t FROM comm GROUP BY 1), w AS (SELECT a.plot AS pa, b.plot AS pb, sum(least(a.value, b.value)) AS w FROM comm a JOIN comm b USING (species) WHERE a.plot < b.plot GROUP BY ALL),
+_BRAY = f"""WITH {COMM}, s AS (SELECT plot, sum(value) AS t FROM comm GROUP BY 1), w AS (SELECT a.plot AS pa, b.plot AS pb, sum(least(a.value, b.value)) AS w FROM comm a JOIN comm b USING (species) WHERE a.plot < b.plot GROUP BY ALL),
 d AS (SELECT a.plot AS plot_a, b.plot AS plot_b, 1 - 2 * coalesce(w, 0) / (a.t + b.t) AS d FROM s a JOIN s b ON a.plot < b.plot LEFT JOIN w ON pa = a.plot AND pb = b.plot)"""
 
 
 @query("D02", _JACCARD + " SELECT plot_a, plot_b, round(d, 6) AS d FROM d")
 def _(t):
-    return D.dissimilarity(rare(t), "jaccard").withColumn("d", r6("d"))
+    return D.dissimilarity(comm(t), "jaccard").withColumn("d", r6("d"))
 
 
 @query("D03", _BRAY + " SELECT plot_a, plot_b, round(d, 6) AS d FROM d")
 def _(t):
-    return D.dissimilarity(rare(t), "bray").withColumn("d", r6("d"))
+    return D.dissimilarity(comm(t), "bray").withColumn("d", r6("d"))
 
 
 @query("D04", f"""WITH {COMM}, plots AS (SELECT DISTINCT plot FROM comm), species AS (SELECT DISTINCT species FROM comm),
@@ -67,28 +57,23 @@ _LCBD = "x AS (SELECT plot_a AS i, plot_b AS j, d2 FROM q UNION ALL SELECT plot_
 
 @query("D05", _JACCARD + f", q AS (SELECT plot_a, plot_b, d * d AS d2 FROM d), {_LCBD}")
 def _(t):
-    return D.lcbd_from_squared(D.dissimilarity(rare(t), "jaccard").selectExpr("plot_a", "plot_b", "d * d AS d2")).select("plot", F.round("lcbd", 8).alias("lcbd"))
+    return D.lcbd_from_squared(D.dissimilarity(comm(t), "jaccard").selectExpr("plot_a", "plot_b", "d * d AS d2")).select("plot", F.round("lcbd", 8).alias("lcbd"))
 
 
 @query("D06", _JACCARD + """, q AS (SELECT plot_a, plot_b, d * d AS d2 FROM d UNION ALL SELECT plot, plot, 0 FROM s), x AS (SELECT plot_a AS i, plot_b AS j, d2 FROM q UNION SELECT plot_b, plot_a, d2 FROM q),
 c AS (SELECT i, j, -(d2 - avg(d2) OVER (PARTITION BY i) - avg(d2) OVER (PARTITION BY j) + avg(d2) OVER ()) / 2 AS g FROM x) SELECT i AS plot_a, j AS plot_b, round(g, 6) + 0.0 AS g FROM c WHERE i <= j""")
 def _(t):
-    return D.gower_centred(D.dissimilarity(rare(t), "jaccard").selectExpr("plot_a", "plot_b", "d * d AS d2")).select("plot_a", "plot_b", (r6("g") + 0.0).alias("g"))
+    return D.gower_centred(D.dissimilarity(comm(t), "jaccard").selectExpr("plot_a", "plot_b", "d * d AS d2")).select("plot_a", "plot_b", (r6("g") + 0.0).alias("g"))
 
 
 @query("D07")
 def _(t):
-    return D.permuted_lcbd(rare(t), 99, 1)
-
-
-@query("D08")
-def _(t):
-    return D.principal_coordinates(D.dissimilarity(rare(t), "jaccard").selectExpr("plot_a", "plot_b", "d * d AS d2"))
+    return D.permuted_lcbd(comm(t), 99, 1)
 
 
 @query("D11", _BRAY + f", q AS (SELECT plot_a, plot_b, d AS d2 FROM d), {_LCBD}")
 def _(t):
-    return D.lcbd_from_squared(D.dissimilarity(rare(t), "bray").selectExpr("plot_a", "plot_b", "d AS d2")).select("plot", F.round("lcbd", 8).alias("lcbd"))
+    return D.lcbd_from_squared(D.dissimilarity(comm(t), "bray").selectExpr("plot_a", "plot_b", "d AS d2")).select("plot", F.round("lcbd", 8).alias("lcbd"))
 
 
 @query("D14", f"WITH {TIPS}, b AS ({BRANCHES}) SELECT b AS branch, 1.0::DOUBLE AS length, count(DISTINCT plot) AS y FROM b GROUP BY 1")
@@ -96,10 +81,10 @@ def _(t):
     return D.branch_incidence(tips(t), closure(t))
 
 
-@query("D17")
+@query("D17", "WITH c AS (SELECT l_suppkey AS plot, l_partkey, count(*) AS x FROM lineitem GROUP BY ALL), n AS (SELECT plot, sum(x)::BIGINT AS n FROM c GROUP BY 1) SELECT plot, m::INT AS m, round(CASE WHEN any_value(n) >= m THEN sum(1 - CASE WHEN n - x >= m THEN exp(lgamma(n - x + 1.0) - lgamma(n - x - m + 1.0) + lgamma(n - m + 1.0) - lgamma(n + 1.0)) ELSE 0 END) END, 4) AS q0 FROM c JOIN n USING (plot), (VALUES (10), (50), (100), (200)) v(m) GROUP BY plot, m")
 def _(t):
     c = t.lineitem.groupBy(F.col("l_suppkey").alias("plot"), F.col("l_partkey").alias("species")).agg(F.count("*").alias("value"))
-    return D.rarefied(c, [10, 50, 100, 200])
+    return D.rarefied(c, [10, 50, 100, 200]).withColumn("q0", F.round("q0", 4))
 
 
 @query("D25", f"""WITH {COMM}, p AS (SELECT plot, species, value / sum(value) OVER (PARTITION BY plot) AS p FROM comm), n AS (SELECT count(DISTINCT plot) AS n FROM p),
@@ -121,12 +106,9 @@ def _(t):
     return D.species_area(s, "y", "area", 10000.0).select("plot", F.round("corrected", 4).alias("corrected"))
 
 
-@query("D34", "SELECT round(pow(sum(c) FILTER (i = j), 2) / sum(c * c), 4) AS dim FROM (SELECT i, j, covar_samp(embedding[i]::DOUBLE, embedding[j]::DOUBLE) AS c FROM embeddings, range(1, 9) a(i), range(1, 9) b(j) GROUP BY ALL)")
+@query("D34", "WITH c AS (SELECT i, j, covar_samp(embedding[i]::DOUBLE, embedding[j]::DOUBLE) AS c FROM embeddings, range(1, 65) a(i), range(1, 65) b(j) GROUP BY ALL) SELECT round(pow(sum(c) FILTER (i = j), 2) / sum(c * c), 4) AS dim FROM c")
 def _(t):
-    e = t.embeddings.select(*[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(8)])
-    c = e.agg(*[F.covar_samp(f"x{i}", f"x{j}").alias(f"c{i}{j}") for i in range(8) for j in range(8)])
-    trace, square = sum(F.col(f"c{i}{i}") for i in range(8)), sum(F.col(f"c{i}{j}") * F.col(f"c{i}{j}") for i in range(8) for j in range(8))
-    return c.select(F.round(trace * trace / square, 4).alias("dim"))
+    return D.participation(t.embeddings, "embedding").select(F.round("dim", 4).alias("dim"))
 
 
 @query("D35")

@@ -11,20 +11,20 @@ from quadrat.plans.catalog import query
 
 @query("M01")
 def _(t):
-    e = t.embeddings.select("vec_id", (F.col("vec_id") % 3).cast("int").alias("fold"), F.col("label").cast("double").alias("y"), *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(16)])
-    return M.forest_out_of_fold(e, [f"x{i}" for i in range(16)], "y", "fold", "vec_id", trees=20)
+    e = t.embeddings.select("vec_id", (F.col("vec_id") % 3).cast("int").alias("fold"), F.col("label").cast("double").alias("y"), *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(64)])
+    return M.forest_out_of_fold(e, [f"x{i}" for i in range(64)], "y", "fold", "vec_id", trees=20)
 
 
 @query("M24")
 def _(t):
-    e = t.embeddings.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(12)])
-    return M.principal_components(e, "vec_id", [f"x{i}" for i in range(12)], 2)
+    e = t.embeddings.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(64)])
+    return M.principal_components(e, "vec_id", [f"x{i}" for i in range(64)], 2)
 
 
 @query("M19")
 def _(t):
-    rare = t.lineitem.where("l_quantity >= 49").groupBy(F.col("l_suppkey").alias("plot"), F.col("l_partkey").alias("species")).agg(F.sum("l_quantity").alias("value"))
+    whole = t.lineitem.groupBy(F.col("l_suppkey").alias("plot"), F.col("l_partkey").alias("species")).agg(F.sum("l_quantity").alias("value"))
     bal = t.supplier.select(F.col("s_suppkey").alias("plot"), (F.col("s_acctbal") / 10000).alias("x"))
-    d = D.dissimilarity(rare, "bray").join(bal.withColumnsRenamed({"plot": "plot_a", "x": "xa"}), "plot_a").join(bal.withColumnsRenamed({"plot": "plot_b", "x": "xb"}), "plot_b").select("d", F.abs(F.col("xa") - F.col("xb")).alias("dx"))
+    d = D.dissimilarity(whole, "bray").join(bal.withColumnsRenamed({"plot": "plot_a", "x": "xa"}), "plot_a").join(bal.withColumnsRenamed({"plot": "plot_b", "x": "xb"}), "plot_b").select("d", F.abs(F.col("xa") - F.col("xb")).alias("dx"))
     b = M.fit_dissimilarity(d, ["dx"], "d", 10)
     return t.spark.createDataFrame([(n, x) for n, x in zip(("intercept", "dx"), b, strict=True)], "term string, beta double")

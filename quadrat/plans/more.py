@@ -14,7 +14,6 @@ from quadrat.operators import relational as R
 from quadrat.operators import series as S
 from quadrat.operators import validation as V
 from quadrat.plans.catalog import query
-from quadrat.plans.diversity import RARE, rare
 from quadrat.plans.relational import COMM, comm, r6
 from quadrat.plans.space import POINTS, points
 
@@ -24,11 +23,6 @@ def _(t):
     return t.region.select("r_regionkey", "r_name", F.col("r_regionkey").isin(1, 3).alias("native"))
 
 
-@query("S15", "SELECT user_id, count(*) AS n FROM events WHERE event_type <> 'error' AND value IS NOT NULL GROUP BY 1 HAVING count(*) >= 5")
-def _(t):
-    return t.events.where("event_type != 'error' AND value IS NOT NULL").groupBy("user_id").agg(F.count("*").alias("n")).where("n >= 5")
-
-
 @query("S18", "SELECT p_partkey FROM part WHERE NOT contains(p_name, '1') AND NOT contains(p_type, 'ECO')")
 def _(t):
     return t.part.where(~F.col("p_name").contains("1") & ~F.col("p_type").contains("ECO")).select("p_partkey")
@@ -77,13 +71,6 @@ def _(t):
     return t.lineitem.groupBy("l_returnflag").agg(part(1, 2).alias("a"), part(3, 4).alias("b"), r6(F.avg("l_tax")).alias("every"))
 
 
-@query("A25", "SELECT cell, round(avg(v), 2) AS normal, round(max(v) - min(v), 2) AS range, round(stddev_pop(v) / avg(v), 6) AS seasonality FROM (SELECT cell, m, avg(v) AS v FROM (SELECT o_custkey % 10 AS cell, year(o_orderdate) AS y, month(o_orderdate) AS m, sum(o_totalprice) AS v FROM orders GROUP BY ALL) GROUP BY ALL) GROUP BY 1")
-def _(t):
-    month = t.orders.groupBy((F.col("o_custkey") % 10).alias("cell"), F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m")).agg(F.sum("o_totalprice").alias("v"))
-    normal = month.groupBy("cell", "m").agg(F.avg("v").alias("v"))
-    return normal.groupBy("cell").agg(F.round(F.avg("v"), 2).alias("normal"), F.round(F.max("v") - F.min("v"), 2).alias("range"), r6(F.stddev_pop("v") / F.avg("v")).alias("seasonality"))
-
-
 @query("A27", "SELECT bin, count(*) AS n, round(median(a - b), 6) AS diff FROM (SELECT l_suppkey, floor(l_quantity / 10)::BIGINT AS bin, avg(l_tax) FILTER (l_linestatus = 'F') AS a, avg(l_tax) FILTER (l_linestatus = 'O') AS b FROM lineitem GROUP BY ALL) WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY 1 HAVING count(*) >= 10")
 def _(t):
     p = t.lineitem.groupBy("l_suppkey", F.floor(F.col("l_quantity") / 10).alias("bin")).pivot("l_linestatus", ["F", "O"]).agg(F.avg("l_tax")).dropna()
@@ -113,13 +100,6 @@ def _(t):
     return t.nation.select("n_nationkey", "n_name").orderBy("n_nationkey")
 
 
-@query("O04")
-def _(t):
-    s = t.supplier.select("s_suppkey")
-    pairs = s.select(F.col("s_suppkey").alias("a")).join(s.select(F.col("s_suppkey").alias("b")), F.col("a") < F.col("b"))
-    return pairs.orderBy(F.xxhash64("a", "b", F.lit(7)), "a", "b").limit(500)
-
-
 @query("U02", "SELECT 0 AS fold, c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' UNION ALL SELECT 1, c_custkey FROM customer WHERE c_acctbal < 0")
 def _(t):
     none = t.spark.createDataFrame([], "fold int, c_custkey long")
@@ -162,35 +142,12 @@ def _(t):
     return e.groupBy("event_type").agg((r6(F.avg(F.col("value") - F.col("m"))) + 0.0).alias("residual"))
 
 
-@query("T03", "SELECT user_id, y::INT AS day, min(ts) AS first, max(ts) AS last, count(*) AS n FROM events, (VALUES (10), (20)) v(y) WHERE day(ts) BETWEEN y - 2 AND y GROUP BY ALL HAVING count(*) >= 2")
-def _(t):
-    e = t.events.withColumn("day", F.explode(F.array(F.lit(10), F.lit(20)))).where(F.dayofmonth("ts").between(F.col("day") - 2, F.col("day")))
-    return e.groupBy("user_id", "day").agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.count("*").alias("n")).where("n >= 2")
-
-
-@query("G06", f"WITH {POINTS} SELECT round(avg(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))), 6) AS mean FROM p a JOIN p b ON a.id < b.id AND a.id % 5 = 0 AND b.id % 5 = 0")
-def _(t):
-    p = points(t).where("id % 5 = 0")
-    q = p.select(F.col("id").alias("b"), F.col("x").alias("xb"), F.col("y").alias("yb"))
-    return p.join(q, F.col("id") < F.col("b")).agg(r6(F.avg(F.sqrt(F.pow(F.col("x") - F.col("xb"), F.lit(2)) + F.pow(F.col("y") - F.col("yb"), F.lit(2))))).alias("mean"))
-
-
 @query("G08", f"WITH {POINTS}, d AS (SELECT a.id, min(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))) AS d FROM p a JOIN p b ON a.fold < 7 AND b.fold >= 7 GROUP BY 1) SELECT id, round(d, 6) AS di, d <= 0.01 AS inside FROM d")
 def _(t):
     p = points(t)
     return G.nearest(p.where("fold < 7"), p.where("fold >= 7"), 0.02).select("id", r6("dist").alias("di"), (F.col("dist") <= 0.01).alias("inside"))
 
 
-@query("G09", "WITH z AS (SELECT l_suppkey % 40 AS r, l_linenumber AS c, avg(l_quantity) AS z FROM lineitem GROUP BY ALL) SELECT a.r, a.c, round(degrees(atan(sqrt(pow((e.z - w.z) / 20, 2) + pow((n.z - s.z) / 20, 2)))), 5) AS slope FROM z a JOIN z e ON e.r = a.r AND e.c = a.c + 1 JOIN z w ON w.r = a.r AND w.c = a.c - 1 JOIN z n ON n.r = a.r + 1 AND n.c = a.c JOIN z s ON s.r = a.r - 1 AND s.c = a.c")
-def _(t):
-    z = t.lineitem.groupBy((F.col("l_suppkey") % 40).alias("r"), F.col("l_linenumber").alias("c")).agg(F.avg("l_quantity").alias("z"))
-    # each cell tells its four neighbours; one aggregate takes the place of four joins
-    to = lambda dr, dc, name: F.struct((F.col("r") + dr).alias("r"), (F.col("c") + dc).alias("c"), F.lit(name).alias("k"), F.col("z").alias("v"))
-    g = z.select(F.explode(F.array(to(0, 0, "o"), to(0, -1, "e"), to(0, 1, "w"), to(-1, 0, "n"), to(1, 0, "s"))).alias("x")).select("x.*").groupBy("r", "c").pivot("k", list("oewns")).agg(F.first("v")).dropna()
-    s, _aspect = G.slope(F.col("o"), F.col("e"), F.col("w"), F.col("n"), F.col("s"), 10.0)
-    return g.select("r", "c", F.round(s, 5).alias("slope"))
-
-
 @query("G14")
 def _(t):
     s = t.supplier.select("s_suppkey", (-73 + F.col("s_nationkey") / 5).alias("lon"), (-30 - F.col("s_suppkey") % 20).cast("double").alias("lat"))
@@ -211,25 +168,12 @@ def _(t):
     return t.lineitem.where("l_tax = 0.03").select("l_orderkey", "l_linenumber", "l_partkey", *cell).join(g, ["cx", "cy"], "left").drop("cx", "cy")
 
 
-@query("D10", f"WITH {RARE} SELECT count(*)::BIGINT AS pairs FROM (SELECT DISTINCT plot FROM comm) a(x), (SELECT DISTINCT plot FROM comm) b(y) WHERE x < y")
-def _(t):
-    j, b = D.dissimilarity(rare(t), "jaccard"), D.dissimilarity(rare(t), "bray").withColumnRenamed("d", "e")
-    both = j.join(b, ["plot_a", "plot_b"]).withColumn("g", F.lit(1))
-    return both.agg(F.count("*").alias("pairs"))
-
-
 @query("D24", "SELECT 'PCL_' || plot AS plot, species, value FROM (SELECT l_suppkey AS plot, l_partkey AS species, count(*) AS value FROM lineitem WHERE l_returnflag <> 'R' GROUP BY ALL)")
 def _(t):
     c = t.lineitem.where("l_returnflag != 'R'").groupBy(F.col("l_suppkey").alias("plot"), F.col("l_partkey").alias("species")).agg(F.count("*").alias("value"))
     return c.select(F.concat(F.lit("PCL_"), F.col("plot")).alias("plot"), "species", "value")
 
 
-@query("V07", "SELECT fold, split, count(*) AS n FROM (SELECT f AS fold, CASE WHEN c_nationkey % 4 = f THEN 'test' ELSE 'train' END AS split FROM customer, range(4) r(f)) GROUP BY ALL")
-def _(t):
-    c = t.customer.select(F.explode(F.array(*[F.lit(i).cast("long") for i in range(4)])).alias("fold"), "c_nationkey")
-    return c.groupBy("fold", F.when(F.col("c_nationkey") % 4 == F.col("fold"), "test").otherwise("train").alias("split")).agg(F.count("*").alias("n"))
-
-
 @query("V08")
 def _(t):
     train = t.customer.where("c_nationkey % 5 != 0")
@@ -244,14 +188,6 @@ def _(t):
     return own.unionByName(rnd)
 
 
-@query("M13", "SELECT o_orderkey, round(a + (b - a) * (x - floor(x)), 7) AS y FROM (SELECT o_orderkey, x, pow(floor(x), 2) AS a, pow(floor(x) + 1, 2) AS b FROM (SELECT o_orderkey, o_totalprice / 10000 AS x FROM orders))")
-def _(t):
-    x = F.col("o_totalprice") / 10000
-    grid = F.array(*[F.lit(float(i * i)) for i in range(0, 200)])  # a table of fixed size, looked up by place
-    i = F.floor(x).cast("int")
-    return t.orders.select("o_orderkey", F.round(grid[i] + (grid[i + 1] - grid[i]) * (x - i), 7).alias("y"))
-
-
 @query("T06", "SELECT user_id, round(avg(v), 6) AS mean FROM (SELECT user_id, avg(value - CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS v FROM events) GROUP BY 1")
 def _(t):
     e = t.events.withColumn("h", F.col("value") - F.when(F.col("event_type") == "click", 1).otherwise(0))

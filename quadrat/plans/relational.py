@@ -184,16 +184,6 @@ def _(t):
     return R.override(c, better, ["plot", "species"], "value").select("plot", "species", "value")
 
 
-@query("J06", """SELECT plot, a, b, c FROM (SELECT l_suppkey AS plot, count(*) AS a FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY 1)
-FULL JOIN (SELECT l_suppkey AS plot, max(l_tax) AS b FROM lineitem WHERE l_suppkey % 3 = 0 GROUP BY 1) USING (plot)
-FULL JOIN (SELECT s_suppkey AS plot, s_acctbal AS c FROM supplier) USING (plot)""")
-def _(t):
-    own = t.lineitem.withColumnRenamed("l_suppkey", "plot")
-    a = own.where("plot % 2 = 0").groupBy("plot").agg(F.count("*").alias("a"))
-    b = own.where("plot % 3 = 0").groupBy("plot").agg(F.max("l_tax").alias("b"))
-    return R.align([a, b, t.supplier.select(F.col("s_suppkey").alias("plot"), F.col("s_acctbal").alias("c"))], "plot")
-
-
 @query("J09", "SELECT count(*) AS n, round(avg(a.x - b.x), 6) AS diff FROM (SELECT l_suppkey AS id, avg(nullif(l_tax, 0)) AS x FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1) a JOIN (SELECT l_suppkey AS id, avg(l_discount) AS x FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1) b USING (id) WHERE a.x IS NOT NULL AND b.x IS NOT NULL")
 def _(t):
     one = lambda flag, c, name: t.lineitem.where(F.col("l_returnflag") == flag).groupBy(F.col("l_suppkey").alias("id")).agg(F.avg(F.expr(c)).alias(name))
@@ -234,12 +224,6 @@ def _(t):
     return p.select("l_suppkey", *[r6(F.col(x)).alias(x.lower()) for x in "ANR"])
 
 
-@query("J26", "SELECT id, a, b FROM (SELECT o_custkey AS id, count(*) AS a FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) FULL JOIN (SELECT c_custkey AS id, c_acctbal AS b FROM customer WHERE c_acctbal < 0) USING (id)")
-def _(t):
-    a = t.orders.where("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("a"))
-    return R.align([a, t.customer.where("c_acctbal < 0").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("b"))], "id")
-
-
 @query("A01", "SELECT o_custkey, arg_min(o_orderpriority, o_orderkey) AS first, count(DISTINCT o_orderpriority) AS kinds, count(*) AS n FROM orders GROUP BY 1")
 def _(t):
     return t.orders.groupBy("o_custkey").agg(F.min_by("o_orderpriority", "o_orderkey").alias("first"), F.count_distinct("o_orderpriority").alias("kinds"), F.count("*").alias("n"))
@@ -304,13 +288,6 @@ def _(t):
     return g.select("user_id", r6("djf").alias("djf"), r6("jja").alias("jja"), r6(F.col("djf") - F.col("jja")).alias("contrast"), r6(F.greatest("djf", "mam", "jja") - F.least("djf", "mam", "jja")).alias("amplitude"))
 
 
-@query("A11", "SELECT user_id, count(*) AS n_obs, max(gap)::INT AS max_gap, round(avg(gap), 6) AS mean_gap FROM (SELECT user_id, day(ts) - lag(day(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events) GROUP BY 1")
-def _(t):
-    d = F.dayofmonth("ts")
-    e = t.events.select("user_id", (d - F.lag(d).over(Window.partitionBy("user_id").orderBy("ts"))).alias("gap"))
-    return e.groupBy("user_id").agg(F.count("*").alias("n_obs"), F.max("gap").alias("max_gap"), r6(F.avg("gap")).alias("mean_gap"))
-
-
 @query("A12", """SELECT fold, round(median(v) FILTER (test), 6) AS test_median, round(avg(v) FILTER (NOT test), 6) AS train_mean, round(stddev_samp(v) FILTER (NOT test), 6) AS train_sd, count(*) FILTER (test) AS n_test
 FROM (SELECT f AS fold, l_suppkey % 5 = f AS test, l_quantity AS v FROM lineitem, range(5) r(f)) GROUP BY fold""")
 def _(t):
@@ -350,11 +327,6 @@ def _(t):
     return t.lineitem.groupBy("l_suppkey", F.col("l_linenumber") % 3).agg(F.avg("l_tax").alias("m")).groupBy("l_suppkey").agg(r6(F.avg("m")).alias("mean"), r6(F.stddev_samp("m")).alias("sd"))
 
 
-@query("A19", "SELECT nullif(o_orderstatus, 'P') AS g, round(abs(avg(o_totalprice - 150000)), 2) AS a, count(DISTINCT o_custkey) AS k FROM orders GROUP BY 1")
-def _(t):
-    return t.orders.groupBy(F.expr("nullif(o_orderstatus, 'P')").alias("g")).agg(F.round(F.abs(F.avg(F.col("o_totalprice") - 150000)), 2).alias("a"), F.count_distinct("o_custkey").alias("k"))
-
-
 @query("A21", "SELECT l_suppkey, round(avg(l_tax) FILTER (l_returnflag = 'A') - avg(l_tax) FILTER (l_returnflag = 'R'), 6) AS gap FROM lineitem GROUP BY 1")
 def _(t):
     p = t.lineitem.groupBy("l_suppkey").pivot("l_returnflag", ["A", "R"]).agg(F.avg("l_tax"))
@@ -385,17 +357,6 @@ def _(t):
     return m.select(F.explode(F.array(*[F.pmod(F.col("m") - 1 - k, F.lit(12)) + 1 for k in range(3)])).alias("m"), "v").groupBy("m").agg(F.round(F.sum("v"), 2).alias("quarter"))
 
 
-@query("A28", "SELECT round(1 - sum(pow(o - p, 2)) / sum(pow(o - mo, 2)), 6) AS total, round(1 - sum(pow((o - go) - (p - gp), 2)) / sum(pow(o - go, 2)), 6) AS within FROM (SELECT l_quantity AS o, l_quantity * (1 - l_discount) AS p, avg(l_quantity) OVER () AS mo, avg(l_quantity) OVER (PARTITION BY l_suppkey) AS go, avg(l_quantity * (1 - l_discount)) OVER (PARTITION BY l_suppkey) AS gp FROM lineitem)")
-def _(t):
-    p = F.col("l_quantity") * (1 - F.col("l_discount"))
-    own = t.lineitem.select("l_suppkey", F.col("l_quantity").alias("o"), p.alias("p"))
-    g = own.groupBy("l_suppkey").agg(F.avg("o").alias("go"), F.avg("p").alias("gp"))
-    every = own.agg(F.avg("o").alias("mo"))
-    j = own.join(g, "l_suppkey").crossJoin(F.broadcast(every))
-    sq = lambda c: F.sum(F.pow(c, F.lit(2)))
-    return j.agg(r6(1 - sq(F.col("o") - F.col("p")) / sq(F.col("o") - F.col("mo"))).alias("total"), r6(1 - sq((F.col("o") - F.col("go")) - (F.col("p") - F.col("gp"))) / sq(F.col("o") - F.col("go"))).alias("within"))
-
-
 @query("A29", "SELECT l_returnflag, count(*) AS n, round(avg((l_quantity <= 25)::INT), 6) AS inside FROM lineitem GROUP BY 1")
 def _(t):
     return t.lineitem.groupBy("l_returnflag").agg(F.count("*").alias("n"), r6(F.avg((F.col("l_quantity") <= 25).cast("int"))).alias("inside"))
@@ -572,13 +533,6 @@ def _(t):
     return t.orders.select("o_orderkey", *[(F.col("o_orderstatus") == x).cast("int").cast("double").alias(f"s_{x.lower()}") for x in "OP"])
 
 
-@query("F14", "SELECT p_partkey, regexp_replace(translate(lower(p_name), 'áéíóúñ', 'aeioun'), '[^a-z0-9]+', '_', 'g') AS slug FROM part")
-def _(t):
-    from quadrat.functions.names import fold
-
-    return t.part.select("p_partkey", F.regexp_replace(fold(F.col("p_name")), "[^a-z0-9]+", "_").alias("slug"))
-
-
 @query("F19", "SELECT l_orderkey, string_agg(DISTINCT l_suppkey::VARCHAR, ',' ORDER BY l_suppkey::VARCHAR) AS csv FROM lineitem GROUP BY 1")
 def _(t):
     return t.lineitem.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set(F.col("l_suppkey").cast("string"))), ",").alias("csv"))

@@ -31,12 +31,6 @@ def _(t):
     return t.embeddings.groupBy("label").agg(F.max(F.when(F.col("vec_id") % 25 == 12, F.col("vec_id"))).alias("centre"))
 
 
-@query("W09", "SELECT user_id, round(median(abs(d)), 6) AS typical FROM (SELECT user_id, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS d FROM events) GROUP BY 1")
-def _(t):
-    d = F.col("value") - F.lag("value").over(Window.partitionBy("user_id").orderBy("ts"))
-    return t.events.select("user_id", F.abs(d).alias("d")).groupBy("user_id").agg(r6(F.expr("percentile(d, 0.5)")).alias("typical"))
-
-
 _GRID = """WITH o AS (SELECT user_id, epoch(ts) AS t, value AS v FROM events), s AS (SELECT user_id, min(t) AS lo, max(t) AS hi, count(*) AS n FROM o GROUP BY 1),
 g AS (SELECT user_id, n, i, lo + (hi - lo) * i / 23 AS t FROM s, range(24) r(i)),
 a AS (SELECT g.user_id, g.n, g.i, g.t, o.t AS t0, o.v AS v0 FROM g ASOF JOIN o ON o.user_id = g.user_id AND o.t <= g.t),

@@ -108,9 +108,3 @@ def _(t):
 @query("G13", "SELECT min(l_quantity) - 2 AS x0, max(l_quantity) + 2 AS x1, min(l_linenumber) - 2 AS y0, max(l_linenumber) + 2 AS y1 FROM lineitem")
 def _(t):
     return t.lineitem.agg((F.min("l_quantity") - 2).alias("x0"), (F.max("l_quantity") + 2).alias("x1"), (F.min("l_linenumber") - 2).alias("y0"), (F.max("l_linenumber") + 2).alias("y1"))
-
-
-@query("G16", "SELECT cell, greatest(2, least(40, round_even(500 * n / sum(n) OVER (), 0)))::BIGINT AS quota FROM (SELECT (l_suppkey % 50) AS cell, count(*) AS n FROM lineitem GROUP BY 1)")
-def _(t):
-    g = t.lineitem.groupBy((F.col("l_suppkey") % 50).alias("cell")).agg(F.count("*").alias("n"))
-    return g.crossJoin(F.broadcast(g.agg(F.sum("n").alias("all")))).select("cell", F.greatest(F.lit(2), F.least(F.lit(40), F.bround(500 * F.col("n") / F.col("all")))).cast("long").alias("quota"))

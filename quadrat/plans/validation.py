@@ -111,42 +111,6 @@ def _(t):
     return j.groupBy("a", "b").agg(F.count("*").alias("n"), F.round(F.avg(d) / (F.stddev_samp(d) / F.sqrt(F.count("*"))), 5).alias("t"))
 
 
-@query("M17", """WITH x AS (SELECT p_partkey, p_retailprice AS v, 900.0 AS a, 1400.0 AS b, 2000.0 AS c FROM part), y AS (SELECT *, greatest(a, least(c, v)) AS w FROM x)
-SELECT p_partkey, round(CASE WHEN w < b THEN 1 - pow(1 - (w - a) / (b - a), 2) ELSE 1 END, 6) AS i1, round(CASE WHEN w < b THEN pow((w - a) / (b - a), 2) * (b - a) / (c - a) ELSE 1 - pow((c - w) / (c - b), 2) * (c - b) / (c - a) END, 6) AS i2, round(CASE WHEN w > b THEN pow(1 - (c - w) / (c - b), 2) ELSE 0 END, 6) AS i3 FROM y""")
-def _(t):
-    i = V.ispline(F.col("p_retailprice"), (900.0, 1400.0, 2000.0))
-    return t.part.select("p_partkey", *[r6(c).alias(f"i{k + 1}") for k, c in enumerate(i)])
-
-
-@query("M18", "SELECT a.s_suppkey AS a, b.s_suppkey AS b, round(abs(a.s_acctbal - b.s_acctbal), 4) AS x FROM supplier a JOIN supplier b ON a.s_suppkey < b.s_suppkey AND a.s_nationkey = b.s_nationkey")
-def _(t):
-    s = t.supplier
-    j = s.select("s_nationkey", F.col("s_suppkey").alias("a"), F.col("s_acctbal").alias("x")).join(s.select("s_nationkey", F.col("s_suppkey").alias("b"), F.col("s_acctbal").alias("y")), "s_nationkey")
-    return j.where("a < b").select("a", "b", F.round(F.abs(F.col("x") - F.col("y")), 4).alias("x"))
-
-
-@query("M20", "SELECT o_orderkey, round(1 - exp(-(0.1 + o_totalprice / 200000)), 6) AS mu FROM orders")
-def _(t):
-    return t.orders.select("o_orderkey", r6(1 - F.exp(-(0.1 + F.col("o_totalprice") / 200000))).alias("mu"))
-
-
-@query("M25", "SELECT vec_id, round(stddev_pop(e), 6) AS sd, round(max(e) - min(e), 6) AS range FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS e FROM embeddings) GROUP BY 1")
-def _(t):
-    v = F.transform("embedding", lambda x: x.cast("double"))
-    add = lambda a: F.aggregate(a, F.lit(0.0), lambda p, x: p + x)
-    own = t.embeddings.select("vec_id", F.explode(F.array(v)).alias("v")).select("vec_id", "v", (add(F.col("v")) / F.size("v")).alias("m"))
-    sd = F.sqrt(add(F.transform("v", lambda x: (x - F.col("m")) * (x - F.col("m")))) / F.size("v"))
-    return own.select("vec_id", r6(sd).alias("sd"), r6(F.array_max("v") - F.array_min("v")).alias("range"))
-
-
-@query("B03", "SELECT a.label AS a, b.label AS b, round(a.m - b.m, 6) AS diff, round(CASE WHEN abs(b.m) > 1e-6 THEN a.m / b.m END, 4) AS ratio FROM (SELECT label, round(avg(list_avg(embedding::DOUBLE[])), 9) + 1 AS m FROM embeddings GROUP BY 1) a JOIN (SELECT label, round(avg(list_avg(embedding::DOUBLE[])), 9) + 1 AS m FROM embeddings GROUP BY 1) b ON a.label < b.label")
-def _(t):
-    mean = F.aggregate(F.transform("embedding", lambda x: x.cast("double")), F.lit(0.0), lambda a, x: a + x) / F.size("embedding")
-    m = t.embeddings.groupBy("label").agg((F.round(F.avg(mean), 9) + 1).alias("m"))
-    j = m.select(F.col("label").alias("a"), F.col("m").alias("x")).join(m.select(F.col("label").alias("b"), F.col("m").alias("y")), F.col("a") < F.col("b"))
-    return j.select("a", "b", r6(F.col("x") - F.col("y")).alias("diff"), F.round(F.when(F.abs("y") > 1e-6, F.col("x") / F.col("y")), 4).alias("ratio"))
-
-
 @query("B11", "SELECT s_suppkey AS tile, y::INT AS year FROM supplier, range(1995, 2002) r(y) EXCEPT SELECT DISTINCT l_suppkey, year(l_shipdate)::INT FROM lineitem WHERE l_quantity >= 48")
 def _(t):
     want = t.supplier.select(F.col("s_suppkey").alias("tile"), F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("year"))
@@ -163,12 +127,6 @@ def _(t):
     return t.customer.select("c_custkey", F.concat_ws("_", F.floor(F.col("c_acctbal") / 1000), F.floor(F.col("c_nationkey") / 5)).alias("block"))
 
 
-@query("V14", "SELECT l_returnflag, round(avg(l_tax) FILTER (l_linestatus = 'F') - avg(l_tax) FILTER (l_linestatus = 'O'), 6) AS gap FROM lineitem GROUP BY 1")
-def _(t):
-    p = t.lineitem.groupBy("l_returnflag").pivot("l_linestatus", ["F", "O"]).agg(F.avg("l_tax"))
-    return p.select("l_returnflag", r6(F.col("F") - F.col("O")).alias("gap"))
-
-
 @query("M15", f"WITH {OOF} SELECT fold, round(avg(obs - pred), 3) AS mean, count(*) AS n FROM o WHERE seed = 0 GROUP BY 1")
 def _(t):
     o = oof(t)
