@@ -43,8 +43,9 @@ def grouped_kfold(df: DataFrame, key: str, group: str, k: int = 5, most: int = 1
 
 
 def random_kfold(df: DataFrame, key: str, k: int, seed: int) -> DataFrame:
-    """(key, fold) by a hash of the key: no order of all rows is needed; folds are even up to chance."""
-    return df.select(key, F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(k)).cast("int").alias("fold"))
+    """(key, fold) by a digest of the key: no order of all rows is needed; folds are even up to chance."""
+    h = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"))), 1, 8), 16, 10).cast("long")
+    return df.select(key, (h % k).cast("int").alias("fold"))
 
 
 def time_folds(df: DataFrame, key: str, year: str, edges: list[int], reach: int = 2) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from quadrat.operators import validation as V
 from quadrat.plans.catalog import query
 from quadrat.plans.relational import COMM, comm, r6
 from quadrat.plans.space import POINTS, points
+from quadrat.plans.validation import RANDOM, packed_sql
 
 
 @query("S11", "SELECT r_regionkey, r_name, r_regionkey IN (1, 3) AS native FROM region")
@@ -148,11 +151,20 @@ def _(t):
     return G.nearest(p.where("fold < 7"), p.where("fold >= 7"), 0.02).select("id", r6("dist").alias("di"), (F.col("dist") <= 0.01).alias("inside"))
 
 
-@query("G14")
+def _utm_sql() -> str:
+    n = 1 / 298.257223563 / (2 - 1 / 298.257223563)
+    e, radius = 2 * math.sqrt(n) / (1 + n), 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    alpha = [n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240]
+    term = lambda f, g: " + ".join(f"{a!r}::DOUBLE * {f}({2 * j} * xi) * {g}({2 * j} * eta)" for j, a in enumerate(alpha, 1))
+    return f"""WITH s AS (SELECT s_suppkey, -73 + s_nationkey / 5 AS lon, (-30 - s_suppkey % 20)::DOUBLE AS lat FROM supplier), a AS (SELECT *, sin(radians(lat)) AS q, radians(lon + 69) AS lam FROM s), b AS (SELECT *, sinh(atanh(q) - {e!r}::DOUBLE * atanh({e!r}::DOUBLE * q)) AS t FROM a),
+c AS (SELECT *, atan2(t, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + t * t)) AS eta FROM b) SELECT s_suppkey, lon, lat, round(500000 + {0.9996 * radius!r}::DOUBLE * (eta + {term("cos", "sinh")}), 3) AS x, round(10000000 + {0.9996 * radius!r}::DOUBLE * (xi + {term("sin", "cosh")}), 3) AS y FROM c"""
+
+
+@query("G14", _utm_sql())
 def _(t):
     s = t.supplier.select("s_suppkey", (-73 + F.col("s_nationkey") / 5).alias("lon"), (-30 - F.col("s_suppkey") % 20).cast("double").alias("lat"))
     x, y = to_utm(F.col("lon"), F.col("lat"), 19, True)
-    return s.select("s_suppkey", "lon", "lat", x.alias("x"), y.alias("y"))
+    return s.select("s_suppkey", "lon", "lat", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
 
 
 @query("G15", "SELECT i AS col, j AS row, 10 + (i + 0.5::DOUBLE) * 2.5::DOUBLE AS x, 50 - (j + 0.5::DOUBLE) * 2.0::DOUBLE AS y FROM range(4) a(i), range(5) b(j)")
@@ -174,13 +186,13 @@ def _(t):
     return c.select(F.concat(F.lit("PCL_"), F.col("plot")).alias("plot"), "species", "value")
 
 
-@query("V08")
+@query("V08", f"WITH RECURSIVE {packed_sql('c_nationkey % 5 <> 0')} SELECT c_custkey, CASE WHEN fold = 2 THEN 'val' ELSE 'fit' END AS split FROM customer JOIN r ON key = c_nationkey WHERE c_nationkey % 5 <> 0")
 def _(t):
     train = t.customer.where("c_nationkey % 5 != 0")
     return V.grouped_kfold(train, "c_custkey", "c_nationkey", 5).select("c_custkey", F.when(F.col("fold") == 42 % 5, "val").otherwise("fit").alias("split"))
 
 
-@query("V12")
+@query("V12", f"SELECT 'lodo' AS scheme, g.fold::INT AS fold, c_custkey, CASE WHEN c_mktsegment = g.s THEN 'test' ELSE 'train' END AS split FROM customer, (SELECT c_mktsegment AS s, row_number() OVER (ORDER BY c_mktsegment) - 1 AS fold FROM customer GROUP BY 1 HAVING count(*) >= 20) g UNION ALL SELECT 'random', f::INT, c_custkey, CASE WHEN {RANDOM} = f THEN 'test' ELSE 'train' END FROM customer, range(5) r(f)")
 def _(t):
     own = V.leave_one_group_out(t.customer, "c_custkey", "c_mktsegment", 20).select(F.lit("lodo").alias("scheme"), F.col("fold").cast("int").alias("fold"), "c_custkey", "split")
     k = V.random_kfold(t.customer, "c_custkey", 5, 42)

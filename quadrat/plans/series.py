@@ -49,9 +49,17 @@ def _(t):
     return S.moving_mean(g, ["user_id"], "step", "g", 3, "m").select("user_id", "step", F.round("m", 4).alias("m"))
 
 
-@query("T12")
+def _trend_sql() -> str:
+    from quadrat.plans.curves import cdf_sql
+
+    return f"""WITH o AS (SELECT user_id, value AS v, row_number() OVER (PARTITION BY user_id ORDER BY ts, value) AS i FROM events), p AS (SELECT a.user_id, sign(b.v - a.v) AS s, (b.v - a.v) / (b.i - a.i) AS d FROM o a JOIN o b ON a.user_id = b.user_id AND a.i < b.i), n AS (SELECT user_id, count(*) AS n FROM o GROUP BY 1),
+q AS (SELECT user_id, any_value(n) AS n, sum(s)::BIGINT AS s, median(d) AS slope FROM p JOIN n USING (user_id) GROUP BY 1), z AS (SELECT *, (s - sign(s)) / sqrt(n * (n - 1) * (2 * n + 5) / 18) AS z FROM q) SELECT user_id, n::INT AS n, s::INT AS s, round(s / (n * (n - 1) / 2), 6) AS tau, round(z, 6) AS z, round(slope, 6) AS slope, round(2 * (1 - ({cdf_sql('abs(z)')})), 6) AS p FROM z"""
+
+
+@query("T12", _trend_sql())
 def _(t):
-    return S.mann_kendall(t.events, "user_id", "ts", "value")
+    out = S.mann_kendall(t.events, "user_id", "ts", "value")
+    return out.withColumns({c: F.round(c, 6) for c in ("tau", "z", "slope", "p")})
 
 
 @query("T13", "WITH x AS (SELECT p_partkey, round((p_retailprice % 1000) / 1000 * (p_partkey % 97) / 97, 9) AS p FROM part), r AS (SELECT p, rank() OVER (ORDER BY p) + count(*) OVER (PARTITION BY p) - 1 AS r, count(*) OVER () AS n FROM x) SELECT p_partkey, coalesce(p <= (SELECT max(p) FROM r WHERE p <= r * 0.2 / n), false) AS rejected FROM x")

@@ -21,12 +21,21 @@ def _(t):
     return V.leave_one_group_out(t.customer, "c_custkey", "c_mktsegment", 20).withColumn("fold", F.col("fold").cast("long"))
 
 
-@query("V02")
+def packed_sql(where: str = "TRUE") -> str:
+    """r (key, fold): nations packed into five folds, the largest first."""
+    return f"""g AS (SELECT c_nationkey, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, c_nationkey::VARCHAR) AS k FROM customer WHERE {where} GROUP BY 1),
+r AS (SELECT 0::BIGINT AS k, [0, 0, 0, 0, 0]::BIGINT[] AS loads, NULL::INT AS key, NULL::INT AS fold UNION ALL SELECT g.k, list_transform(range(1, 6), lambda i: loads[i] + CASE WHEN i = pos THEN n ELSE 0 END), g.c_nationkey, (pos - 1)::INT FROM r JOIN g ON g.k = r.k + 1, LATERAL (SELECT list_position(loads, list_min(loads)) AS pos) p)"""
+
+
+@query("V02", f"WITH RECURSIVE {packed_sql()} SELECT c_custkey, fold FROM customer JOIN r ON key = c_nationkey")
 def _(t):
     return V.grouped_kfold(t.customer, "c_custkey", "c_nationkey", 5)
 
 
-@query("V03")
+RANDOM = "(('0x' || substr(md5('42|' || c_custkey), 1, 8))::BIGINT % 5)::INT"
+
+
+@query("V03", f"SELECT c_custkey, {RANDOM} AS fold FROM customer")
 def _(t):
     return V.random_kfold(t.customer, "c_custkey", 5, 42)
 
@@ -79,11 +88,12 @@ def _(t):
     return oof(t).agg(F.round(V.masked_huber(F.col("pred") / 1000, obs), 4).alias("loss"))
 
 
-@query("M08")
+@query("M08", "SELECT p_partkey, round(p_retailprice / 500 - 3, 6) + 0.0 AS back FROM part")
 def _(t):
+    """The fitted transformation and its inverse, which gives back what there was."""
     x = t.part.select("p_partkey", (F.col("p_retailprice") / 500 - 3).alias("x"))
     lam = V.fit_lambda(x, "x")
-    return x.select("p_partkey", V.yeo_johnson(F.col("x"), lam).alias("z"), V.yeo_johnson_inverse(V.yeo_johnson(F.col("x"), lam), lam).alias("back"), "x")
+    return x.select("p_partkey", (r6(V.yeo_johnson_inverse(V.yeo_johnson(F.col("x"), lam), lam)) + 0.0).alias("back"))
 
 
 @query("M09", "SELECT s_suppkey, round(greatest(0, least(60, list_avg(list_transform([-0.5, -0.1, 0.0, 0.2, 0.4], lambda r: greatest(0, least(60, CASE WHEN z + r >= 0 THEN pow((z + r) * 0.5 + 1, 2) - 1 ELSE 1 - pow(1 - 1.5 * (z + r), 1 / 1.5) END)))))), 5) AS y FROM (SELECT s_suppkey, s_acctbal / 1000 AS z FROM supplier)")
