@@ -4,8 +4,9 @@
 2.  On a bounded sample a rotation is learned (PCA, then ITQ), so that the signs of the rotated
     components are balanced bits.  Every vector is coded.
 3.  Each table indexes the codes by some of their bits.  Vectors of a label that agree on all bits of
-    some table meet in a bucket.  Bits and tables follow from the number of vectors, so that buckets
-    keep their size and a pair at ``sure`` cosine is missed with a chance of 1 % at most.
+    some table meet in a bucket.  Bits and tables follow from the number of vectors of the label itself,
+    so that the buckets of a large label and of a small one keep the same size, however large it is, and
+    a pair at ``sure`` cosine is missed with a chance of 1 % at most.
 4.  In a bucket the original vectors are compared in double precision, in blocks.  A pair counts in the
     first table in which it meets.  Only counts and a spanning forest of the links leave a bucket, so
     a group of m near copies gives m rows, not m * m.
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrat.llm.common import drop_scratch, materialize, table
@@ -47,12 +48,17 @@ def learn_rotation(sample: np.ndarray, bits: int = BITS, rounds: int = 30) -> tu
     return mean, w @ r
 
 
-def tables_for(n: int, bits: int, sure: float = 0.95, miss: float = 0.01) -> list[list[int]]:
-    """The bits of each table for n vectors of a label: buckets of some dozens, and few enough misses.
+def width_for(n: Column) -> Column:
+    """How many bits a table takes for a label of n vectors: buckets of some dozens."""
+    return F.greatest(F.lit(6), F.round(F.log2(n / 32))).cast("int")
+
+
+def tables_for(width: int, bits: int, sure: float = 0.95, miss: float = 0.01) -> list[list[int]]:
+    """The bits of each table of so many of them: few enough misses.
 
     Two vectors at an angle differ in a bit with a chance of angle / pi.
     """
-    width = max(1, min(bits, 16, max(6, round(math.log2(max(n, 2) / 32)))))
+    width = max(1, min(bits, width))
     hit = (1 - math.acos(sure) / math.pi) ** width
     count = max(1, math.ceil(math.log(miss) / math.log(1 - hit)))
     rng, deck, out = np.random.default_rng(11), [], []
@@ -208,28 +214,37 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     own = own.withColumn("key", F.when(valid("vec", "label"), F.sha2(F.concat_ws("|", "label", F.array_join(F.transform("vec", lambda c: (c + F.lit(0.0)).cast("string")), ",")), 256)))
     rows = materialize(own.select("vec_id", "key"), "vectors")
     reps = own.where(F.col("key").isNotNull()).groupBy("key").agg(F.count("*").alias("times"), F.min("vec_id").alias("least_id"), F.min("label").alias("label"), F.min("vec").alias("vec"))
-    reps = materialize(reps.select(F.monotonically_increasing_id().alias("v"), "key", "times", "least_id", "label", "vec"), "vector-classes")
-    groups = reps.groupBy(F.size("vec").alias("d")).agg(F.count("*").alias("n"), F.count_distinct("label").alias("labels")).collect()  # one row for each length of vectors
-    found = None
+    keyed = materialize(reps, "vector-keys")
+    sizes = keyed.groupBy("label").agg(width_for(F.count("*")).alias("width"))
+    reps = keyed.join(sizes, "label").select(F.monotonically_increasing_id().alias("v"), "key", "times", "least_id", "label", "vec", "width")
+    reps = materialize(reps, "vector-classes")
+    drop_scratch(keyed)
+    # a row for each length of vectors, and for each width, of which there are some dozens
+    groups = reps.groupBy(F.size("vec").alias("d")).agg(F.sort_array(F.collect_set("width")).alias("widths")).collect()
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found, scratch = None, []
     for g in sorted(groups, key=lambda g: g["d"]):
         some = reps.where(F.size("vec") == g["d"])
         sample = np.array([r["vec"] for r in some.orderBy(F.xxhash64("key"), "key").select("vec").limit(max_sample).collect()], np.float64)
         mean, proj = learn_rotation(_unit(sample))
-        tables = tables_for(max(1, g["n"] // g["labels"]), proj.shape[1])
-        coded = materialize(_bucket_rows(some, mean, proj, tables), "codes")
-        sizes = coded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-        dealt = coded.join(sizes, "bucket").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-        dealt = dealt.withColumn("blk", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
-        # a vector goes to each pair of its block with another, and to its block alone
-        dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        dealt = dealt.withColumns({"x": F.least("blk", "o"), "y": F.greatest("blk", "o"), "side": (F.col("blk") > F.col("o")).cast("int")})
-        parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        dealt = dealt.repartition(parts, "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "tab")
-        one = _compare(dealt, tables, least)
-        found = one if found is None else found.union(one)
+        for width in g["widths"]:
+            tables = tables_for(width, proj.shape[1])
+            coded = materialize(_bucket_rows(some.where(F.col("width") == width), mean, proj, tables), "codes")
+            scratch.append(coded)
+            buckets = coded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+            dealt = coded.join(buckets, "bucket").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+            dealt = dealt.withColumn("blk", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+            # a vector goes to each pair of its block with another, and to its block alone
+            dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            dealt = dealt.withColumns({"x": F.least("blk", "o"), "y": F.greatest("blk", "o"), "side": (F.col("blk") > F.col("o")).cast("int")})
+            dealt = dealt.repartition(parts, "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "tab")
+            one = _compare(dealt, tables, least)
+            found = one if found is None else found.union(one)
     if found is None:
         found = spark.createDataFrame([], "kind int, a long, b long")
     found = materialize(found, "vector-links")
+    for done in scratch:
+        drop_scratch(done)
     counts = found.where("kind = 0").groupBy(F.col("a").alias("v")).agg(F.sum("b").alias("links"))
     comps = connected_components(found.where("kind = 1").select("a", "b"))
     named = reps.select("v", "key", "times", "least_id").join(counts, "v", "left").join(comps, F.col("v") == F.col("vertex"), "left")

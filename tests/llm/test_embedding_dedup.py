@@ -63,7 +63,25 @@ def test_query_recall(spark, sf_dir):
 
 
 def test_tables():
-    for n in (1, 100, 10**5, 10**9):
-        tables = E.tables_for(n, 64)
+    for width in (6, 16, 17, 25, 40):
+        tables = E.tables_for(width, 64)
         hit = (1 - np.arccos(0.95) / np.pi) ** len(tables[0])
-        assert all(len(set(t)) == len(t) == len(tables[0]) and max(t) < 64 for t in tables) and (1 - hit) ** len(tables) <= 0.01
+        assert all(len(set(t)) == len(t) == width and max(t) < 64 for t in tables) and (1 - hit) ** len(tables) <= 0.01
+
+
+def test_widths_follow_the_label(spark):
+    n = {k: spark.range(1).select(E.width_for(E.F.lit(k)).alias("w")).first()["w"] for k in (1, 100, 10**5, 2 * 10**6, 10**9)}
+    assert n[1] == n[100] == 6 and n[10**5] == 12 and n[2 * 10**6] == 16 and n[10**9] == 25
+
+
+@pytest.mark.parametrize("width", [16, 17, 24])
+def test_recall_of_wide_tables_and_of_labels_of_all_sizes(spark, width, monkeypatch):
+    """Beyond the 16 bits that once were the most, and with one label that has most of the vectors."""
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((80, 32))
+    vecs = [(b + 0.12 * rng.standard_normal(32)).astype(np.float32).tolist() for b in base for _ in range(6)]
+    rows = [(i, v, 0 if i % 10 else 1 + i % 7) for i, v in enumerate(vecs)]
+    monkeypatch.setattr(E, "width_for", lambda n: E.F.when(n > 100, width).otherwise(6))
+    got, want = run(spark, rows), brute(rows)
+    links = {r[0]: r[1] for r in want}
+    assert all(r[1] <= links[r[0]] for r in got) and sum(r[1] for r in got) >= 0.95 * sum(links.values()) > 500
