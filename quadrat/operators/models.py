@@ -7,6 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quadrat.functions.special import uniform
+from quadrat.operators.validation import scores
+
 
 def forest_out_of_fold(df: DataFrame, features: list[str], target: str, fold: str, key: str, trees: int = 50, seed: int = 0, least: int = 20) -> DataFrame:
     """(key, fold, obs, pred): each fold is predicted by a random forest of the other folds.
@@ -31,25 +34,102 @@ def forest_out_of_fold(df: DataFrame, features: list[str], target: str, fold: st
     return out
 
 
-def principal_components(df: DataFrame, key: str, cols: list[str], k: int) -> DataFrame:
-    """(key, pc1..pck) of complete rows, columns centred and scaled; the largest loading of a component is positive.
+def moments(df: DataFrame, vector: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(means, standard deviations, correlations) of the components of a vector column; cells (i, j) are aggregated, so only a matrix of the vector's length comes back."""
+    v = df.where(F.col(vector).isNotNull()).select(F.transform(F.col(vector), lambda x: x.cast("double")).alias("v"))
+    cells = v.select(F.posexplode("v").alias("i", "x"), "v").select("i", "x", F.posexplode("v").alias("j", "y")).where("i <= j")
+    rows = cells.groupBy("i", "j").agg(F.avg("x").alias("m"), F.stddev_samp("x").alias("s"), F.corr("x", "y").alias("c")).collect()
+    n = 1 + max((r["j"] for r in rows), default=-1)
+    mean, sd, corr = np.zeros(n), np.zeros(n), np.eye(n)
+    for r in rows:
+        if r["i"] == r["j"]:
+            mean[r["i"]], sd[r["i"]] = r["m"], r["s"] or 0.0
+        else:
+            corr[r["i"], r["j"]] = corr[r["j"], r["i"]] = r["c"] or 0.0
+    return mean, sd, corr
 
-    Moments and the matrix of correlations are one aggregate; the matrix is of the size of the columns.
-    """
-    ok = df.dropna(subset=cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    r = ok.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)], *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(cols)], *[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
-    c = np.eye(len(cols))
-    for i, j in pairs:
-        if i != j:
-            c[i, j] = c[j, i] = r[f"c{i}_{j}"]
-    w, v = np.linalg.eigh(c)
+
+def principal_components(df: DataFrame, key: str, cols: list[str], k: int) -> DataFrame:
+    """(key, pc1..pck) of complete rows, columns centred and scaled; the largest loading of a component is positive."""
+    ok = df.dropna(subset=cols).select(key, F.array(*[F.col(c).cast("double") for c in cols]).alias("_v"))
+    mean, sd, corr = moments(ok, "_v")
+    w, v = np.linalg.eigh(corr)
     v = v[:, np.argsort(w)[::-1][:k]]
-    v *= np.sign(v[np.abs(v).argmax(axis=0), range(v.shape[1])])
-    score = lambda q: sum(((F.col(c) - r[f"m{i}"]) / r[f"s{i}"]) * float(v[i, q]) for i, c in enumerate(cols))
+    v = v * np.sign(v[np.abs(v).argmax(axis=0), range(v.shape[1])])
+    scale = np.where(sd > 0, sd, 1.0)
+
+    def score(q: int):
+        weights = F.array(*[F.lit(float(x)) for x in v[:, q] / scale])
+        shift = float((mean / scale) @ v[:, q])
+        return F.aggregate(F.zip_with("_v", weights, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x) - shift
+
     return ok.select(key, *[score(q).alias(f"pc{q + 1}") for q in range(v.shape[1])])
 
 
+def bounded(a: np.ndarray, budget: float) -> np.ndarray:
+    """The unit vector nearest to a whose absolute values add up to the budget at most: a is shrunk by the least amount that does it, found by halving."""
+    unit = lambda x: x / max(np.linalg.norm(x), 1e-12)
+    shrunk = lambda cut: unit(np.sign(a) * np.maximum(np.abs(a) - cut, 0))
+    if np.abs(unit(a)).sum() <= budget:
+        return unit(a)
+    low, high = 0.0, float(np.abs(a).max())
+    for _ in range(60):
+        cut = (low + high) / 2
+        low, high = (cut, high) if np.abs(shrunk(cut)).sum() > budget else (low, cut)
+    return shrunk(low if np.abs(shrunk(high)).sum() == 0 else high)
+
+
+def sparse_pairs(cross: np.ndarray, pairs: int, share_x: float, share_z: float, rounds: int = 100) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Pairs of sparse unit vectors of a cross-moment matrix (the penalised decomposition of Witten, Tibshirani and Hastie 2009), each from what the last has left.
+
+    Absolute weights add up to a share of the root of the number of columns.  It begins with the leading singular vector.
+    """
+    left, out = cross.astype(float).copy(), []
+    most_x, most_z = share_x * np.sqrt(cross.shape[0]), share_z * np.sqrt(cross.shape[1])
+    for _ in range(pairs):
+        z = np.linalg.svd(left)[2][0]
+        x = bounded(left @ z, most_x)
+        for _ in range(rounds):
+            last, z = x, bounded(left.T @ x, most_z)
+            x = bounded(left @ z, most_x)
+            if np.abs(x - last).max() < 1e-10:
+                break
+        sign = np.sign(x[np.abs(x).argmax()]) or 1.0
+        strength = float(x @ left @ z)
+        out.append((x * sign, z * sign, strength))
+        left -= strength * np.outer(x, z)
+    return out
+
+
+def sparse_canonical(df: DataFrame, vector: str, split: int, pairs: int, share_x: float, share_z: float) -> DataFrame:
+    """(component, col, weight, strength): sparse canonical vectors of the first `split` components of a vector against the rest."""
+    _, _, corr = moments(df, vector)
+    rows = [(k + 1, i, float(w), s) for k, (x, z, s) in enumerate(sparse_pairs(corr[:split, split:], pairs, share_x, share_z)) for i, w in enumerate(np.concatenate([x, z]))]
+    return df.sparkSession.createDataFrame(rows, "component int, col int, weight double, strength double")
+
+
+def choose_budgets(df: DataFrame, key: str, vector: str, split: int, shares: list[float], seed: int) -> DataFrame:
+    """(share_x, share_z, held_out, best): budgets of the first sparse pair, learned on a half of the rows (by a digest of the key) and judged by the correlation of its scores on the other."""
+    half = uniform(seed, F.col(key)) < 0.5
+    fit, held = moments(df.where(half), vector), moments(df.where(~half), vector)
+    rows = []
+    for a in shares:
+        for b in shares:
+            x, z, _ = sparse_pairs(fit[2][:split, split:], 1, a, b)[0]
+            c = held[2]
+            spread = np.sqrt((x @ c[:split, :split] @ x) * (z @ c[split:, split:] @ z))
+            rows.append((a, b, float(x @ c[:split, split:] @ z / spread) if spread > 0 else 0.0))
+    top = max(r[2] for r in rows)
+    return df.sparkSession.createDataFrame([(*r, r[2] == top) for r in rows], "share_x double, share_z double, held_out double, best boolean")
+
+
+def screen(df: DataFrame, blocks: list[str]) -> DataFrame:
+    """(block, target, seeds, mean, sd) of the R2 of each block's predictions (a column of its name) over seeds, from (seed, target, obs, blocks)."""
+    long = df.select("seed", "target", "obs", F.explode(F.array(*[F.struct(F.lit(b).alias("block"), F.col(b).alias("pred")) for b in blocks])).alias("b")).select("seed", "target", "obs", "b.*")
+    s = scores(long, ["block", "target", "seed"])
+    return s.groupBy("block", "target").agg(F.count("*").alias("seeds"), F.avg("r2").alias("mean"), F.stddev_samp("r2").alias("sd"))
+
+
 def fit_dissimilarity(pairs: DataFrame, columns: list[str], y: str, rounds: int = 60) -> list[float]:
     """Intercept and coefficients, none negative, of 1 - exp(-eta) under the binomial deviance.
 

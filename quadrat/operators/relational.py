@@ -153,3 +153,9 @@ def index_contrasts(statistics: DataFrame, key: str, index: str) -> DataFrame:
     side = lambda n: statistics.select(key, F.col(index).alias(n), F.col("mean").alias(f"m{n}"), F.col("cv").alias(f"c{n}"))
     j = side("a").join(side("b"), key).where("a < b")
     return j.select(key, "a", "b", (F.col("ma") - F.col("mb")).alias("diff"), (F.col("ma") / F.when(F.abs("mb") > 1e-6, F.col("mb"))).alias("ratio"), (F.col("ca") - F.col("cb")).alias("cvdiff"))
+
+
+def nearest_of(x: Column, axis: list[float]) -> Column:
+    """The value of an axis that is nearest to x, the first of two."""
+    values = F.array(*[F.lit(float(v)) for v in axis])
+    return F.array_min(F.transform(values, lambda v, i: F.struct(F.abs(x - v).alias("d"), i.alias("i"), v.alias("v"))))["v"]

@@ -26,14 +26,3 @@ def _(t):
 
 def _subset_partition(t, k: int):
     return D.partition(comm(t).where(f"plot <= {k}")).withColumn("size", F.lit(k))
-
-
-@query("M21")
-def _(t):
-    """The first canonical pair of two blocks of columns: cross moments are one aggregate, the rest is of the size of the columns."""
-    x, z = [f"x{i}" for i in range(6)], [f"z{i}" for i in range(6)]
-    e = t.embeddings.select(*[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(6)], *[F.col("embedding")[i + 6].cast("double").alias(f"z{i}") for i in range(6)])
-    r = e.agg(*[F.corr(a, b).alias(f"{a}{b}") for a in x for b in z]).first()
-    u, s, v = np.linalg.svd(np.array([[r[f"{a}{b}"] for b in z] for a in x]))
-    sign = np.sign(u[np.abs(u[:, 0]).argmax(), 0])
-    return t.spark.createDataFrame([(c, float(w * sign), float(s[0])) for c, w in zip(x + z, np.concatenate([u[:, 0], v[0]]), strict=True)], "col string, weight double, strength double")

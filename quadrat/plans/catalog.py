@@ -35,5 +35,5 @@ def query(name: str, sql: str | None = None):
     return put
 
 
-for _module in ("relational", "diversity", "series", "space", "validation", "storage", "models", "more", "blocks", "curves", "images", "designs", "ordination"):
+for _module in ("relational", "diversity", "series", "space", "validation", "storage", "models", "more", "blocks", "curves", "images", "designs", "ordination", "phenology"):
     importlib.import_module(f"quadrat.plans.{_module}")

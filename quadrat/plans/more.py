@@ -63,11 +63,6 @@ def _(t):
     return o.join(F.broadcast(f), F.col("own") != F.col("fold")).where("NOT (y >= lo AND y - 2 <= hi)").groupBy("fold").agg(F.count("*").alias("n"))
 
 
-@query("J15", "SELECT vec_id, round_even(embedding[1]::DOUBLE / 0.05, 0)::BIGINT AS ix, round_even(embedding[2]::DOUBLE / 0.05, 0)::BIGINT AS iy FROM embeddings")
-def _(t):
-    return t.embeddings.select("vec_id", *[F.bround(F.col("embedding")[i].cast("double") / 0.05).cast("long").alias(c) for i, c in ((0, "ix"), (1, "iy"))])
-
-
 @query("A20", "SELECT l_returnflag, round(avg(l_tax) FILTER (l_linenumber IN (1, 2)), 6) AS a, round(avg(l_tax) FILTER (l_linenumber IN (3, 4)), 6) AS b, round(avg(l_tax), 6) AS every FROM lineitem GROUP BY 1")
 def _(t):
     part = lambda *k: r6(F.avg(F.when(F.col("l_linenumber").isin(*k), F.col("l_tax"))))
@@ -133,18 +128,6 @@ def _(t):
     return t.supplier.select("s_suppkey", F.regexp_extract(uri, r"^\w+://([^/]+)/(.*)$", 1).alias("bucket"), F.regexp_extract(uri, r"^\w+://([^/]+)/(.*)$", 2).alias("key"))
 
 
-@query("T10", "SELECT user_id, CASE WHEN count(DISTINCT day(ts)) >= 3 THEN round(sqrt(avg(pow(value - m, 2))), 6) END AS rmse FROM (SELECT user_id, ts, value, avg(value) OVER (PARTITION BY user_id) AS m FROM events) GROUP BY 1")
-def _(t):
-    e = t.events.withColumn("m", F.avg("value").over(Window.partitionBy("user_id")))
-    return e.groupBy("user_id").agg(F.when(F.count_distinct(F.dayofmonth("ts")) >= 3, r6(F.sqrt(F.avg(F.pow(F.col("value") - F.col("m"), F.lit(2)))))).alias("rmse"))
-
-
-@query("T11", "SELECT event_type, round(avg(value - m), 6) + 0.0 AS residual FROM (SELECT event_type, value, avg(value) OVER (PARTITION BY user_id) AS m FROM events) GROUP BY 1")
-def _(t):
-    e = t.events.withColumn("m", F.avg("value").over(Window.partitionBy("user_id")))
-    return e.groupBy("event_type").agg((r6(F.avg(F.col("value") - F.col("m"))) + 0.0).alias("residual"))
-
-
 @query("G08", f"WITH {POINTS}, d AS (SELECT a.id, min(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))) AS d FROM p a JOIN p b ON a.fold < 7 AND b.fold >= 7 GROUP BY 1) SELECT id, round(d, 6) AS di, d <= 0.01 AS inside FROM d")
 def _(t):
     p = points(t)
@@ -198,9 +181,3 @@ def _(t):
     k = V.random_kfold(t.customer, "c_custkey", 5, 42)
     rnd = k.withColumn("f", F.explode(F.array(*[F.lit(i) for i in range(5)]))).select(F.lit("random").alias("scheme"), F.col("f").alias("fold"), "c_custkey", F.when(F.col("fold") == F.col("f"), "test").otherwise("train").alias("split"))
     return own.unionByName(rnd)
-
-
-@query("T06", "SELECT user_id, round(avg(v), 6) AS mean FROM (SELECT user_id, avg(value - CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS v FROM events) GROUP BY 1")
-def _(t):
-    e = t.events.withColumn("h", F.col("value") - F.when(F.col("event_type") == "click", 1).otherwise(0))
-    return S.moving_mean(e, ["user_id"], "ts", "h", 3, "v").groupBy("user_id").agg(r6(F.avg("v")).alias("mean"))

@@ -127,11 +127,6 @@ def _(t):
     return want.join(t.lineitem.where("l_quantity >= 48").select(F.col("l_suppkey").alias("tile"), F.year("l_shipdate").alias("year")), ["tile", "year"], "left_anti")
 
 
-@query("B12", "SELECT l_suppkey AS tile, count(*) AS n, round(avg((l_discount > 0)::INT), 6) AS valid, min(l_tax) = max(l_tax) AS constant FROM lineitem GROUP BY 1")
-def _(t):
-    return t.lineitem.groupBy(F.col("l_suppkey").alias("tile")).agg(F.count("*").alias("n"), r6(F.avg((F.col("l_discount") > 0).cast("int"))).alias("valid"), (F.min("l_tax") == F.max("l_tax")).alias("constant"))
-
-
 @query("V09", "SELECT c_custkey, floor(c_acctbal / 1000)::BIGINT || '_' || floor(c_nationkey / 5)::BIGINT AS block FROM customer")
 def _(t):
     return t.customer.select("c_custkey", F.concat_ws("_", F.floor(F.col("c_acctbal") / 1000), F.floor(F.col("c_nationkey") / 5)).alias("block"))
