@@ -51,8 +51,8 @@ def test_diversity_equals_dense(spark, seed):
     g = -j @ d2 @ j / 2
     assert all(r["g"] == pytest.approx(g[r["plot_a"], r["plot_b"]], abs=1e-12) for r in D.gower_centred(pairs).collect())
     assert {r["plot"]: r["lcbd"] for r in D.lcbd_from_squared(pairs).collect()} == pytest.approx(dict(enumerate(np.diag(g) / np.trace(g))))
-    axes = D.principal_coordinates(pairs, 2).collect()
-    w = np.sort(np.linalg.eigvalsh(g))[::-1]
+    axes = D.principal_coordinates(D.dissimilarity(df, "jaccard").selectExpr("plot_a", "plot_b", "sqrt(d) d"), 2).collect()
+    w = np.sort(np.linalg.eigvalsh(-j @ np.sqrt(d2) @ j / 2))[::-1]
     for k in (1, 2):
         s = [r["score"] for r in axes if r["axis"] == k]
         assert sum(x * x for x in s) == pytest.approx(w[k - 1]) and max(s, key=abs) > 0
