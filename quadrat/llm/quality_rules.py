@@ -18,13 +18,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrat.llm.common import SPACE_CLASS, table, words
+from quadrat.llm.common import table, words
 
 MAX_LABELLED = 4000
 #: A learned rule must be right for this share of the rows that it covers, or it is not taken.
 MIN_PRECISION = 0.95
 MIN_COVER = 8
-SYMBOLS = "#*$%&|<>"
 #: The learned conditions look at these; each is a number for any text, 0 for an empty one.
 FEATURES = ("symbol_share", "upper_share", "exclaim_share", "dup_line_share", "repeat_word_share", "distinct_share", "mean_word", "pipe_share")
 
@@ -43,13 +42,16 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     # explode() of one element keeps Spark from computing the arrays anew for each use
-    a = docs.select(F.col(f"`{id_col}`").alias("_id"), text.alias("_text"), F.explode(F.array(words(text))).alias("_w"))
-    n = F.size("_w")
-    pairs = F.zip_with(F.slice("_w", 1, F.greatest(n - 2, F.lit(0))), F.slice("_w", 2, F.greatest(n - 2, F.lit(0))), lambda x, y: F.struct(x.alias("a"), y.alias("b")))
-    windows = F.zip_with(pairs, _neighbours(F.col("_w"), n, 2), lambda p, z: F.xxhash64(p["a"], p["b"], z))
-    placed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    a = docs.select(F.col(f"`{id_col}`").alias("_id"), text.alias("_text"), F.explode(F.array(F.transform(words(text), lambda w: F.xxhash64(w)))).alias("_h"))
+    n = F.size("_h")
+    from_ = lambda by: F.slice("_h", by + 1, F.greatest(n - 2, F.lit(0)))
+    windows = F.zip_with(F.zip_with(from_(0), from_(1), lambda x, y: F.xxhash64(x, y)), from_(2), lambda x, y: F.xxhash64(x, y))
+    a = a.select("_id", "_text", n.alias("n_words"), F.size(F.array_distinct("_h")).alias("_distinct"), F.explode(F.array(windows)).alias("_win"))
+    # only where some window comes again are windows put beside each other
+    again = F.size(F.array_distinct("_win")) < F.size("_win")
+    placed = F.when(again, F.sort_array(F.transform("_win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
     lines = F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    a = a.select("_id", "_text", n.alias("n_words"), F.size(F.array_distinct("_w")).alias("_distinct"), F.explode(F.array(F.struct(placed.alias("s"), lines.alias("l")))).alias("_x"))
+    a = a.select("_id", "_text", "n_words", "_distinct", F.explode(F.array(F.struct(placed.alias("s"), lines.alias("l")))).alias("_x"))
     s, m = F.col("_x.s"), F.size("_x.s")
     twins = F.zip_with(F.slice(s, 1, F.greatest(m - 1, F.lit(0))), _neighbours(s, m, 1), lambda x, y: F.when(x["h"] == y["h"], F.array(x["i"], y["i"])).otherwise(F.array().cast("array<int>")))
     starts = F.array_sort(F.array_distinct(F.flatten(twins)))
@@ -57,14 +59,14 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         starts, F.struct(F.lit(-3).alias("last"), F.lit(0).alias("sum")),
         lambda acc, i: F.struct(i.alias("last"), (acc["sum"] + F.least(F.lit(3), i - acc["last"])).alias("sum")), lambda acc: acc["sum"],
     )
-    count = lambda chars: (F.length("_text") - F.length(F.translate("_text", chars, ""))).cast("long")
+    count = lambda kind: F.length(F.regexp_replace("_text", f"[^{kind}]+", "")).cast("long")
     b = a.select(
         "_id", F.col("n_words").cast("long").alias("n_words"), "_distinct",
-        F.length(F.regexp_replace("_text", SPACE_CLASS + "+", "")).cast("long").alias("word_chars"),
-        count(SYMBOLS).alias("n_symbols"),
+        (F.length("_text") - count(r"\x20\x09-\x0D")).alias("word_chars"),
+        count("#*$%&|<>").alias("n_symbols"),
         (F.size("_x.l") - F.size(F.array_distinct("_x.l"))).cast("long").alias("n_dup_lines"),
         covered.cast("long").alias("n_repeat_words"),
-        F.size("_x.l").alias("_lines"), count("!").alias("_exclaim"), count("|").alias("_pipe"), count("ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("_upper"),
+        F.size("_x.l").alias("_lines"), count("!").alias("_exclaim"), count("|").alias("_pipe"), count("A-Z").alias("_upper"),
     )
     share = lambda x, y: F.coalesce(F.try_divide(F.col(x).cast("double"), F.col(y).cast("double")), F.lit(0.0))
     return b.select(

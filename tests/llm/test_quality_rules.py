@@ -46,6 +46,30 @@ def test_query(spark, sf_dir):
         assert r["kept"] == (not r["base_failed"] and r["rule"] is None)
 
 
+def features(text):
+    """The learned conditions' numbers of a text, by their definitions."""
+    text = text or ""
+    w, n = WORD.findall(text), brute(text)
+    lines = sum(bool(WORD.search(x)) for x in text.split("\n"))
+    share = lambda a, b: a / b if b else 0.0
+    return {
+        "symbol_share": share(n[2], n[1]), "upper_share": share(sum("A" <= c <= "Z" for c in text), n[1]), "exclaim_share": share(text.count("!"), n[0]), "dup_line_share": share(n[3], lines),
+        "repeat_word_share": share(n[4], n[0]), "distinct_share": share(len(set(w)), n[0]), "mean_word": share(n[1], n[0]), "pipe_share": share(text.count("|"), n[0]),
+    }
+
+
+def test_rules_equal_brute_force(spark, sf_dir):
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rules = Q.fit(docs.select("doc_id", "text"), labels)
+    assert rules
+    got = {r["doc_id"]: r for r in Q.op5_quality_rules(spark, sf_dir).collect()}
+    for r in docs.collect():
+        f, n = features(r["text"]), brute(r["text"])
+        rule = next((k for k, x in enumerate(rules, 1) if Q._covers(x, f)), None)
+        failed = n[0] < 50 or 100 * n[4] > 50 * n[0]
+        assert (got[r["doc_id"]]["rule"], got[r["doc_id"]]["kept"]) == (rule, rule is None and not failed)
+
+
 def test_odd_tables(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None)], "doc_id long, text string").selectExpr("*", "7 quality", "8 _lid")
     labels = spark.createDataFrame([(1, None, 3), (None, 0, 1)], "doc_id long, quality int, toxic int")
