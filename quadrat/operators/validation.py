@@ -11,9 +11,16 @@ from pyspark.sql import functions as F
 from quadrat.functions.special import normal_cdf
 
 
-def leave_one_group_out(df: DataFrame, key: str, group: str, least: int) -> DataFrame:
-    """(fold, held_out, key, split): each group of at least `least` rows is a test fold, in sorted order."""
-    g = df.groupBy(group).agg(F.count("*").alias("_n")).where(F.col("_n") >= least).withColumn("fold", F.row_number().over(Window.orderBy(group)) - 1)
+def leave_one_group_out(df: DataFrame, key: str, group: str, least: int, most: int = 10_000) -> DataFrame:
+    """(fold, held_out, key, split): each group of at least `least` rows is a test fold, in sorted order.
+
+    The result has a row for each row and fold, so more than `most` folds are refused; they are counted
+    before they are broadcast.
+    """
+    own = df.groupBy(group).agg(F.count("*").alias("_n")).where(F.col("_n") >= least)
+    if own.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} groups")
+    g = own.withColumn("fold", F.row_number().over(Window.orderBy(group)) - 1)
     big = g.select("fold", F.col(group).cast("string").alias("held_out"), F.col(group).alias("_g"))
     return df.select(key, group).crossJoin(F.broadcast(big)).select("fold", "held_out", key, F.when(F.col(group) == F.col("_g"), "test").otherwise("train").alias("split"))
 

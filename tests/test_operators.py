@@ -116,7 +116,7 @@ def test_overlaps_and_neighbours(spark):
     same = np.eye(len(xy), dtype=bool)
     assert {r["id"]: r["dist"] for r in G.nearest(q, q, 0.05).collect()} == pytest.approx(dict(enumerate(np.where(same, np.inf, d).min(axis=1))))
     fold = np.arange(len(xy)) % 3
-    assert {r["id"]: r["dist"] for r in G.nearest(q, q, 0.05, unlike="fold", max_rings=4).collect()} == pytest.approx(dict(enumerate(np.where(fold[:, None] == fold[None], np.inf, d).min(axis=1))))
+    assert {r["id"]: r["dist"] for r in G.nearest(q, q, 0.05, unlike="fold").collect()} == pytest.approx(dict(enumerate(np.where(fold[:, None] == fold[None], np.inf, d).min(axis=1))))
 
 
 def test_gridding(spark):
