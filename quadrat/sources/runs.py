@@ -75,3 +75,11 @@ def per_tile(rows: DataFrame, key: str, work: Callable[[pd.DataFrame], dict], re
         return pd.DataFrame([out])[[key, "status", *names, "n", "error"]]
 
     return rows.groupBy(key).applyInPandas(one, f"{key} {kind}, status string, {results}, n long, error string")
+
+
+def agreement(a: DataFrame, b: DataFrame, keys: list[str], value: str, within: float) -> DataFrame:
+    """(rows, differ, most): rows of either table, those whose values differ by more than `within` or that one lacks, and the largest difference, in units of `within`, rounded down."""
+    x, y = a.select(*keys, F.col(value).alias("_a")), b.select(*keys, F.col(value).alias("_b"))
+    gap = F.abs(F.col("_a") - F.col("_b"))
+    off = F.coalesce(gap > within, F.lit(True)) & ~(F.col("_a").isNull() & F.col("_b").isNull())
+    return x.join(y, keys, "full_outer").agg(F.count("*").alias("rows"), F.count(F.when(off, 1)).alias("differ"), F.floor(F.max(gap) / within).cast("double").alias("most"))

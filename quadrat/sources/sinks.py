@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -38,3 +38,22 @@ def markdown(df: DataFrame, most: int = 500) -> str:
         raise ValueError("too many rows for a table in a document")
     line = lambda cells: "| " + " | ".join("" if c is None else f"{c:.3f}" if isinstance(c, float) else str(c) for c in cells) + " |"
     return "\n".join([line(df.columns), line(["---"] * len(df.columns)), *map(line, rows)])
+
+
+def write_tiles(df: DataFrame, path: str, bands: list[str], tags: dict[str, str], keys: tuple[str, ...] = ("tile", "year")) -> None:
+    """Raster tiles in long form: (keys, row, col, band, value) under a folder for each tile and year, with a table of band names and tags beside them.
+
+    What a band lacks has no row.
+    """
+    import json
+
+    cells = df.select(*keys, "row", "col", F.explode(F.array(*[F.struct(F.lit(i + 1).alias("band"), F.col(b).cast("float").alias("value")) for i, b in enumerate(bands)])).alias("b")).select(*keys, "row", "col", "b.*").where("value IS NOT NULL")
+    cells.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(f"{path}/cells")
+    rows = [(i + 1, b, json.dumps(tags, sort_keys=True)) for i, b in enumerate(bands)]
+    df.sparkSession.createDataFrame(rows, "band int, name string, tags string").write.mode("overwrite").parquet(f"{path}/bands")
+
+
+def read_tiles(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(keys, row, col, name, value) of what write_tiles() wrote; schema has the keys."""
+    cells = spark.read.schema(f"row long, col long, band int, value float, {schema}").parquet(f"{path}/cells")
+    return cells.join(F.broadcast(spark.read.parquet(f"{path}/bands").select("band", "name")), "band").drop("band")
