@@ -26,11 +26,6 @@ def _(t):
     return t.region.select("r_regionkey", "r_name", F.col("r_regionkey").isin(1, 3).alias("native"))
 
 
-@query("S18", "SELECT p_partkey FROM part WHERE NOT contains(p_name, '1') AND NOT contains(p_type, 'ECO')")
-def _(t):
-    return t.part.where(~F.col("p_name").contains("1") & ~F.col("p_type").contains("ECO")).select("p_partkey")
-
-
 @query("S20", "SELECT plot, species, 1 AS present FROM (SELECT l_suppkey AS plot, l_partkey AS species FROM lineitem WHERE l_quantity > 47 UNION SELECT l_suppkey, l_partkey FROM lineitem WHERE l_tax = 0.08)")
 def _(t):
     one = lambda c: t.lineitem.where(c).select(F.col("l_suppkey").alias("plot"), F.col("l_partkey").alias("species"))

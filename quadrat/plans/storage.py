@@ -48,11 +48,14 @@ def _(t):
     return t.spark.read.schema(schema).parquet(path)
 
 
-@query("K06", "SELECT event_type AS variable, count(*) AS n FROM events WHERE value IS NOT NULL GROUP BY 1")
+@query("K06", "WITH c AS (SELECT l_suppkey AS site, l_shipdate::DATE AS day, avg(CASE WHEN l_returnflag <> 'R' THEN l_tax END) FILTER (l_linenumber = 1) AS t1, avg(CASE WHEN l_returnflag <> 'R' THEN l_tax END) AS t5, avg(CASE WHEN l_returnflag <> 'R' THEN l_quantity END) FILTER (l_linenumber = 1) AS q1, avg(CASE WHEN l_returnflag <> 'R' THEN l_quantity END) AS q5, count(CASE WHEN l_returnflag <> 'R' THEN 1 END) AS n FROM lineitem GROUP BY ALL) SELECT site, day, 'tax' AS variable, 'centre' AS px, round(t1, 6) AS value, 1::BIGINT AS n_px FROM c WHERE t1 IS NOT NULL UNION ALL SELECT site, day, 'tax', 'mean5x5', round(t5, 6), n FROM c WHERE t5 IS NOT NULL UNION ALL SELECT site, day, 'quantity', 'centre', round(q1, 6), 1 FROM c WHERE q1 IS NOT NULL UNION ALL SELECT site, day, 'quantity', 'mean5x5', round(q5, 6), n FROM c WHERE q5 IS NOT NULL")
 def _(t):
+    """Series of each variable at the centre pixel and over the window, under folders of their own; masked observations have no row."""
     path = scratch_path(t.spark, "k06")
-    t.events.where("value IS NOT NULL").select("user_id", "ts", "value", F.col("event_type").alias("variable")).write.partitionBy("variable").parquet(path)
-    return t.spark.read.parquet(path).groupBy("variable").agg(F.count("*").alias("n"))
+    clear = F.col("l_returnflag") != "R"
+    obs = t.lineitem.select(F.col("l_suppkey").alias("site"), F.to_date("l_shipdate").alias("day"), (F.col("l_linenumber") == 1).alias("centre"), F.when(clear, F.col("l_tax")).alias("tax"), F.when(clear, F.col("l_quantity")).alias("quantity"))
+    sinks.write_series(obs, path, ["site", "day"], ["tax", "quantity"])
+    return t.spark.read.schema("site long, day date, value double, n_px long, variable string, px string").parquet(path).withColumn("value", r6("value"))
 
 
 @query("S16", _SUMMARY.format("1", ""))
@@ -188,3 +191,13 @@ def _(t):
     t.lineitem.select("l_suppkey", "l_linenumber", "l_tax").write.partitionBy("l_linenumber").parquet(path)
     tiles = t.spark.read.schema("l_suppkey long, l_tax double, l_linenumber int").parquet(path).groupBy("l_suppkey", "l_linenumber").agg((F.sum("l_tax") / F.count("*")).alias("v"))
     return runs.agreement(train, tiles, ["l_suppkey", "l_linenumber"], "v", 1e-9)
+
+
+@query("S18", "SELECT 'run' || k AS run_id, p_partkey, p_size AS obs, round(p_retailprice / 50, 4) AS pred FROM part, (VALUES (0), (2)) v(k) WHERE p_partkey % 4 = k")
+def _(t):
+    """Out-of-fold tables of a glob of runs: confirmation runs are left out by name, tables that lack a column by their schema."""
+    root = scratch_path(t.spark, "s18")
+    for k, name in enumerate(("run0", "run1_s10", "run2", "run3")):
+        part = t.part.where(F.col("p_partkey") % 4 == k).select("p_partkey", F.col("p_size").alias("obs"), F.round(F.col("p_retailprice") / 50, 4).alias("pred"))
+        (part.drop("pred") if k == 3 else part).write.parquet(f"{root}/{name}/lodo/oof")
+    return files.tables_of(t.spark, f"{root}/*/lodo/oof", r"/([^/]+)/lodo/oof", "run_id", ["p_partkey", "obs", "pred"], without="_s10")

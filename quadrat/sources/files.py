@@ -68,6 +68,28 @@ def declared(spark: SparkSession, path: str, schema: str, key: list[str] | None
     return df
 
 
+def tables_of(spark: SparkSession, glob: str, pattern: str, name: str, columns: list[str], without: str) -> DataFrame:
+    """The columns of all Parquet tables of a glob that have them, with what a pattern's first group finds in their paths; tables whose name holds `without` are left out.
+
+    There is a table for each run, so their folders are listed and their schemas looked at by the driver.
+    """
+    from functools import reduce
+
+    path = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
+    parts = []
+    for at in sorted(s.getPath().toString() for s in found):
+        own = re.search(pattern, at)
+        if not own or without in own[1]:
+            continue
+        df = spark.read.parquet(at)
+        if set(columns) <= set(df.columns):
+            parts.append(df.select(F.lit(own[1]).alias(name), *columns))
+    if not parts:
+        raise FileNotFoundError(f"no table of {glob} has {columns}")
+    return reduce(DataFrame.unionByName, parts)
+
+
 class Catalog:
     """Tables of a folder by name, each read once, and whether they cover the ids that they should."""
 

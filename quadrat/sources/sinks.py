@@ -40,6 +40,14 @@ def markdown(df: DataFrame, most: int = 500) -> str:
     return "\n".join([line(df.columns), line(["---"] * len(df.columns)), *map(line, rows)])
 
 
+def write_series(obs: DataFrame, path: str, keys: list[str], variables: list[str]) -> None:
+    """Series of pixels (keys, centre, variables) under a folder for each variable and px: the centre pixel's value, and the mean of all pixels that have one with their number; what is masked has no row."""
+    sums = [e for v in variables for e in (F.avg(F.when(F.col("centre"), F.col(v))).alias(f"{v}_c"), F.avg(v).alias(f"{v}_m"), F.count(v).alias(f"{v}_n"))]
+    rows = F.array(*[F.struct(F.lit(v).alias("variable"), F.lit(px).alias("px"), F.col(f"{v}_{c}").alias("value"), n.alias("n_px")) for v in variables for px, c, n in (("centre", "c", F.lit(1).cast("long")), ("mean5x5", "m", F.col(f"{v}_n")))])
+    long = obs.groupBy(*keys).agg(*sums).select(*keys, F.explode(rows).alias("r")).select(*keys, "r.*").where("value IS NOT NULL")
+    long.write.mode("overwrite").partitionBy("variable", "px").parquet(path)
+
+
 def write_tiles(df: DataFrame, path: str, bands: list[str], tags: dict[str, str], keys: tuple[str, ...] = ("tile", "year")) -> None:
     """Raster tiles in long form: (keys, row, col, band, value) under a folder for each tile and year, with a table of band names and tags beside them.
 
