@@ -117,17 +117,17 @@ def _sensors(t):
 _WINDOW = "SELECT l_suppkey % 20 AS x, l_linenumber AS y, l_shipdate::DATE AS day, {} FROM lineitem WHERE l_suppkey % 20 BETWEEN 2 AND 9 AND l_linenumber BETWEEN 2 AND 5 AND year(l_shipdate) BETWEEN 1997 AND 1999 GROUP BY ALL"
 
 
-@query("S06", _WINDOW.format("array_to_string(list_sort(list(DISTINCT l_returnflag)), '+') AS sensors, round(avg(l_tax), 6) AS l_tax, round(avg(l_discount), 6) AS l_discount, round(avg(l_quantity), 4) AS l_quantity, round(avg(l_extendedprice), 2) AS l_extendedprice"))
+@query("S06", _WINDOW.format("array_to_string(list_sort(list(DISTINCT l_returnflag)), '+') AS sensors, round(avg(l_tax), 9) AS l_tax, round(avg(l_discount), 9) AS l_discount, round(avg(l_quantity), 7) AS l_quantity, round(avg(l_extendedprice), 7) AS l_extendedprice"))
 def _(t):
     """A window of all sensors' observations: bounds, years, one value for each pixel and solar day."""
     w = files.load_window(_sensors(t), (2, 2, 9, 5), (1997, 1999), ["l_tax", "l_discount", "l_quantity", "l_extendedprice"])
-    return w.withColumns({"l_tax": r6("l_tax"), "l_discount": r6("l_discount"), "l_quantity": F.round("l_quantity", 4), "l_extendedprice": F.round("l_extendedprice", 2)})
+    return w.withColumns({"l_tax": F.round("l_tax", 9), "l_discount": F.round("l_discount", 9), "l_quantity": F.round("l_quantity", 7), "l_extendedprice": F.round("l_extendedprice", 7)})
 
 
-@query("S07", _WINDOW.format("array_to_string(list_sort(list(DISTINCT l_returnflag)), '+') AS sensors, round(avg(l_tax), 6) AS l_tax"))
+@query("S07", _WINDOW.format("array_to_string(list_sort(list(DISTINCT l_returnflag)), '+') AS sensors, round(avg(l_tax), 9) AS l_tax"))
 def _(t):
     """The same window with one band; no other is read."""
-    return files.load_window(_sensors(t), (2, 2, 9, 5), (1997, 1999), ["l_tax"]).withColumn("l_tax", r6("l_tax"))
+    return files.load_window(_sensors(t), (2, 2, 9, 5), (1997, 1999), ["l_tax"]).withColumn("l_tax", F.round("l_tax", 9))
 
 
 @query("S19", "SELECT 'asset.bin' AS name, 4096::BIGINT AS length, 1::BIGINT AS copies")
