@@ -106,7 +106,9 @@ def _(t):
     p = F.col("vec_id") % 25
     e = t.embeddings.select(F.floor(F.col("vec_id") / 25).alias("plot"), F.floor(p / 5).cast("int").alias("y"), (p % 5).cast("int").alias("x"), "embedding")
     compact, _ = files.flattened(e, ["plot"], "embedding", (2, 2))
-    return compact.withColumn("curve", F.array_join(F.transform("curve", lambda v: F.round(v * 1e6).cast("long").cast("string")), ","))
+    text = F.array_join(F.transform("curve", lambda v: F.round(v * 1e6).cast("long").cast("string")), ",")
+    # a cube without its centre has no curve there
+    return compact.withColumn("curve", F.when(F.exists("curve", lambda v: v.isNotNull()), text))
 
 
 def _sensors(t):
