@@ -48,3 +48,13 @@ def test_least_digests(spark):
     assert [r["id"] for r in R.least_digests(rows, F.col("d"), ["id"], 20, 2000).select("id", "d").orderBy("d").collect()] == want
     # a total that is far too large puts too few under the bound: all are sorted
     assert R.least_digests(rows, F.col("d"), ["id"], 20, 10**9).count() == 20
+
+
+def test_centred_pairs_are_not_shuffled(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        d = spark.range(40).selectExpr("id AS plot_a", "explode(sequence(id + 1, 40)) AS plot_b").where("plot_a < plot_b").withColumn("d2", F.lit(1.0))
+        plan = D.gower_centred(d)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
