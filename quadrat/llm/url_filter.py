@@ -14,7 +14,8 @@ vocabulary is broadcast; one of more than ``MAX_TERMS`` terms is refused.
 from __future__ import annotations
 
 import csv
-import os
+import io
+import pkgutil
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,9 +34,9 @@ _FOLD = str.maketrans(_UPPER, _LOWER)
 
 
 def own_vocabulary() -> dict[str, int]:
-    """Terms and weights of the table beside this module."""
-    with open(os.path.join(os.path.dirname(__file__), "url_terms.csv"), newline="") as f:
-        return {r["term"]: int(r["weight"]) for r in csv.DictReader(f)}
+    """Terms and weights of the table beside this module, which may lie in a zip file."""
+    text = pkgutil.get_data("quadrat.llm", "url_terms.csv").decode()
+    return {r["term"]: int(r["weight"]) for r in csv.DictReader(io.StringIO(text, newline=""))}
 
 
 def load_vocabulary(terms: DataFrame, most: int = MAX_TERMS) -> dict[str, int]:

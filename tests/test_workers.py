@@ -5,6 +5,8 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
 CODE = """
 import sys
 sys.path.insert(0, sys.argv[1])
@@ -17,9 +19,21 @@ for _, stage in corpus_pipeline.STAGES[:2]:
 assert docs.count() > 0
 """
 
+URLS = """
+import sys
+sys.path.insert(0, sys.argv[1])
+import __spark_entry__
+from quadrat.session import builder, ship
+spark = builder("local[2]", 2).config("spark.checkpoint.dir", "file://" + sys.argv[2]).getOrCreate()
+ship(spark)
+got = __spark_entry__.queries()["op3_url_filter"](spark, "/root/testdata/sf0.001").collect()
+assert len(got) == spark.read.parquet("/root/testdata/sf0.001/pages.parquet").count()
+"""
+
 
-def test_package_reaches_workers(tmp_path):
+@pytest.mark.parametrize("code", [CODE, URLS])
+def test_package_reaches_workers(tmp_path, code):
     root = str(Path(__file__).resolve().parent.parent)
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    got = subprocess.run([sys.executable, "-c", CODE, root, str(tmp_path)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    got = subprocess.run([sys.executable, "-c", code, root, str(tmp_path)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert got.returncode == 0, got.stderr[-2000:]
