@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quadrat.operators import diversity as D
 from quadrat.operators import models as M
 from quadrat.plans.catalog import query
+from quadrat.scratch import materialize
 
 
 @query("M01")
@@ -25,6 +25,6 @@ def _(t):
 def _(t):
     whole = t.lineitem.groupBy(F.col("l_suppkey").alias("plot"), F.col("l_partkey").alias("species")).agg(F.sum("l_quantity").alias("value"))
     bal = t.supplier.select(F.col("s_suppkey").alias("plot"), (F.col("s_acctbal") / 10000).alias("x"))
-    d = D.dissimilarity(whole, "bray").join(bal.withColumnsRenamed({"plot": "plot_a", "x": "xa"}), "plot_a").join(bal.withColumnsRenamed({"plot": "plot_b", "x": "xb"}), "plot_b").select("d", F.abs(F.col("xa") - F.col("xb")).alias("dx"))
-    b = M.fit_dissimilarity(d, ["dx"], "d", 10)
+    d = materialize(M.bray_by_difference(whole, bal, 6), "differences")
+    b = M.fit_dissimilarity(d, ["dx"], "d", 10, "n")
     return t.spark.createDataFrame([(n, x) for n, x in zip(("intercept", "dx"), b, strict=True)], "term string, beta double")
