@@ -69,12 +69,8 @@ p AS (SELECT d.cell, year, c_custkey AS point, row_number() OVER (PARTITION BY d
 SELECT cell, year, point, year - 2 AS win_start, year AS win_end, 'U' || lpad((row_number() OVER (ORDER BY cell, year, r) - 1)::VARCHAR, 6, '0') AS sample_id FROM p WHERE r <= 2""")
 def _(t):
     """A pool: years drawn by weight for each cell, points for each of them, and ids in a row."""
-    from quadrat.functions.special import draw_order
-
     years = G.weighted_years(t.supplier.select(F.col("s_suppkey").alias("cell"), "s_nationkey"), _YEARS, 3, 9)
-    at = years.join(t.customer.select(F.col("c_nationkey").alias("s_nationkey"), F.col("c_custkey").alias("point")), "s_nationkey")
-    w = Window.partitionBy("cell", "year").orderBy(draw_order(9, F.col("cell"), F.col("year"), F.col("point")), "point")
-    drawn = at.withColumn("r", F.row_number().over(w)).where("r <= 2")
+    drawn = G.drawn_points(years, t.customer.select(F.col("c_nationkey").alias("s_nationkey"), F.col("c_custkey").alias("point")), "s_nationkey", 9, 2)
     # ids in a row: counts of the cells before, and an order within a cell
     before = drawn.groupBy("cell").agg(F.count("*").alias("n")).withColumn("b", F.coalesce(F.sum("n").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     own = drawn.join(F.broadcast(before), "cell").withColumn("i", F.col("b") + F.row_number().over(Window.partitionBy("cell").orderBy("year", "r")) - 1)
