@@ -41,7 +41,7 @@ def _(t):
     """Customers and rows of another list paired one to one within a place, by the likeness of their dates."""
     x = t.orders.where("o_orderkey % 2 = 0").select((F.col("o_custkey") % 40).alias("loc"), F.col("o_custkey").alias("a"), F.to_date("o_orderdate").alias("item"))
     y = t.orders.where("o_orderkey % 3 = 0").select((F.col("o_custkey") % 40).alias("loc"), F.concat(F.lit("r"), F.col("o_custkey") + 40).alias("b"), F.to_date("o_orderdate").alias("item"))
-    return G.greedy_pairs(G.set_similarity(x, y, "loc", "a", "b", "item").withColumn("jaccard", F.round("jaccard", 9)), "a", "b", "jaccard")
+    return G.pairs_by_likeness(x, y, "loc", "a", "b", "item")
 
 
 # designs ---------------------------------------------------------------------------------------------
