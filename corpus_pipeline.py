@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quadrat.llm import near_dedup, packing, quality_classifier, quality_rules, secrets
 from quadrat.llm.common import drop_scratch, materialize, scratch_path, table
+from quadrat.session import ship
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,11 +43,13 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     It is that of the least doc_id; of rows that repeat it with the same text, one.  Texts without a word
     are near nothing and stay.
     """
+    ship(spark)  # no stage relies on one before it in the same application
     return near_dedup.keep_one(docs)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark; null texts stay null."""
+    ship(spark)
     return secrets.redact(docs, secrets.Ledger(spark, scratch_path(spark, "ledger")))
 
 
@@ -55,6 +58,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     A document without a text is a piece of the end id alone; repeated rows are packed one by one.
     """
+    ship(spark)
     return packing.pack_documents(docs)
 
 

@@ -30,8 +30,18 @@ got = __spark_entry__.queries()["op3_url_filter"](spark, "/root/testdata/sf0.001
 assert len(got) == spark.read.parquet("/root/testdata/sf0.001/pages.parquet").count()
 """
 
+STAGE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+import corpus_pipeline
+from quadrat.session import builder
+spark = builder("local[2]", 2).config("spark.checkpoint.dir", "file://" + sys.argv[2]).getOrCreate()
+docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+assert corpus_pipeline.STAGES[%d][1](spark, docs, "/root/testdata/sf0.001").count() > 0
+"""
+
 
-@pytest.mark.parametrize("code", [CODE, URLS])
+@pytest.mark.parametrize("code", [CODE, URLS, *[STAGE % k for k in (2, 4)]])
 def test_package_reaches_workers(tmp_path, code):
     root = str(Path(__file__).resolve().parent.parent)
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
