@@ -26,5 +26,5 @@ def _(t):
     whole = t.lineitem.groupBy(F.col("l_suppkey").alias("plot"), F.col("l_partkey").alias("species")).agg(F.sum("l_quantity").alias("value"))
     bal = t.supplier.select(F.col("s_suppkey").alias("plot"), (F.col("s_acctbal") / 10000).alias("x"))
     d = materialize(M.bray_by_difference(whole, bal, 6), "differences")
-    b = M.fit_dissimilarity(d, ["dx"], "d", 10, "n")
+    b = M.fit_dissimilarity(d, ["dx"], "d", weight="n")
     return t.spark.createDataFrame([(n, x) for n, x in zip(("intercept", "dx"), b, strict=True)], "term string, beta double")
