@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ from quadrat.operators.graph import connected_components
 SKETCH, INDEXED, SHORT_LIST, MISS = 32, 16, 16, 1e-6
 #: Rows, and bytes of full sets, of a block of a long list.
 BLOCK, BLOCK_BYTES = 4096, 4 << 20
+#: Bytes of full sets that a round moves at least; more where all sets together have more.
+ROUND_BYTES = 256 << 20
 #: Bytes of words whose hashes a Python worker keeps.
 WORD_CACHE = 48 << 20
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -197,6 +200,11 @@ def _search_lists(rows: DataFrame, num: int, den: int) -> DataFrame:
     return rows.select("value", "x", "y", "side", "v", "component", "set").mapInArrow(run, "a long, b long")
 
 
+def _rounds(total: int | None, sets: int | None) -> int:
+    """In how many rounds rows with sets of `total` bytes are moved, so that none moves more than about all sets once."""
+    return max(1, -(-(total or 0) // max(ROUND_BYTES, sets or 0)))
+
+
 def most_long(t: float, indexed: int, miss: float = MISS) -> int:
     """The largest l with P(Bin(indexed, t) <= l) <= miss; -1 if there is none."""
     chance = 0.0
@@ -249,7 +257,7 @@ def _near_duplicates(docs: DataFrame, width: int, num: int, den: int, id_col: st
     shared = F.size(F.array_intersect(union, F.array_intersect("s_a", "s_b")))
     least = max(0.0, t - 6 * math.sqrt(t * (1 - t) / sketch))
     likely = met.join(side("a"), "a").join(side("b"), "b").where((den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")) & (shared >= least * F.size(union)))
-    pairs = table_of(likely.select("a", "b"), "pairs")
+    pairs = table_of(likely.select("a", "b", "n_a"), "pairs")
 
     # full sets of whatever may have to be confirmed
     # a set that is indexed whole may share more with a partner than the partner has indexed
@@ -262,7 +270,11 @@ def _near_duplicates(docs: DataFrame, width: int, num: int, den: int, id_col: st
     texts = keyed.join(wanted, ["_d", "_null", "text_key"]).select("v", "text")
     sets = table_of(_full_sets(texts, width).dropDuplicates(["v"]), "sets")  # a repeated row brings its set again
 
-    links = table_of(_confirm(pairs, sets, num, den), "links")
+    # a set may have many partners and be in many lists: what carries sets is moved in rounds, each written before the next
+    bytes_of_sets = sets.agg(F.sum(F.octet_length("set"))).first()[0]
+    rounds = _rounds(pairs.agg(F.sum(8 * F.col("n_a"))).first()[0], bytes_of_sets)
+    turn = lambda df, k, *key: df.where(F.pmod(F.xxhash64(*key), F.lit(rounds)) == k) if rounds > 1 else df
+    links = reduce(DataFrame.union, [table_of(_confirm(turn(pairs, k, "a", "b"), sets, num, den), "links") for k in range(rounds)])
     comps = table_of(connected_components(links), "found")
 
     # long lists with several components: an exact search across components
@@ -275,8 +287,9 @@ def _near_duplicates(docs: DataFrame, width: int, num: int, den: int, id_col: st
     dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"x": F.least("blk", "o"), "y": F.greatest("blk", "o"), "side": (F.col("blk") > F.col("o")).cast("int")})
     parts = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = dealt.join(sets, "v").repartition(parts, "value", "x", "y").sortWithinPartitions("value", "x", "y")
-    more = table_of(_search_lists(dealt, num, den), "more-links")
+    rounds = _rounds(own.join(mixed, "value").agg(F.sum(8 * F.col("n") * F.col("blocks"))).first()[0], bytes_of_sets)
+    lists_of = lambda k: turn(dealt, k, "value", "x", "y").join(sets, "v").repartition(parts, "value", "x", "y").sortWithinPartitions("value", "x", "y")
+    more = reduce(DataFrame.union, [table_of(_search_lists(lists_of(k), num, den), "more-links") for k in range(rounds)])
     comps = materialize(connected_components(links.union(more)), "components")
     for done in scratch:
         drop_scratch(done)

@@ -133,3 +133,15 @@ def test_a_pair_of_hot_passages(spark):
 def test_query(spark, sf_dir):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert sorted((tuple(r) for r in N.op2_minhash_near_dedup(spark, sf_dir).collect()), key=str) == brute(rows, 3, 85, 100)
+
+
+def test_sets_move_in_rounds(spark, monkeypatch):
+    """What carries full sets moves about as much at a time as all sets have, and the result is the same."""
+    rows = [(i, t) for i, t in enumerate(corpus(5))] if not isinstance(corpus(5)[0], tuple) else corpus(5)
+    want, moved = brute(rows, 3, 85, 100), {"confirm": 0, "lists": 0}
+    confirm, lists = N._confirm, N._search_lists
+    monkeypatch.setattr(N, "_confirm", lambda *a: moved.update(confirm=moved["confirm"] + 1) or confirm(*a))
+    monkeypatch.setattr(N, "_search_lists", lambda *a: moved.update(lists=moved["lists"] + 1) or lists(*a))
+    monkeypatch.setattr(N, "ROUND_BYTES", 1)
+    assert run(spark, rows) == want
+    assert moved["confirm"] > 1 and moved["lists"] > 1
